@@ -144,10 +144,9 @@ def repairs(token: str, around: str) -> tuple[str, ...]:
     parts = unicodedata.normalize("NFD", token)
     letters = "".join(c for c in parts if not unicodedata.combining(c))
     own = {script(c) for c in letters}
-    if own == {around} and not any(c in "ɡıɑ" for c in letters):
-        return ()
     firm = "".join(c for c in letters if c not in AMBIGUOUS)
-    if len(own) < 2 and (firm or own == {"other"}):
+    odd = any(c in "ɡıɑ" for c in letters)
+    if not odd and (own == {around} or (len(own) < 2 and (firm or own == {"other"}))):
         return ()
     order = [dominant(firm)] if firm else [around, *(dominant(letters),) * (len(own) > 1)]
     found = []
@@ -162,7 +161,8 @@ def doubtful_tokens(text: str) -> tuple[str, list[str]]:
     """Dominant script of a folded text, and its distinct tokens that may need a repair."""
     if text.isascii():
         return "Latin", []
-    around = dominant("".join(TOKEN.findall(text)))
+    letters = unicodedata.normalize("NFD", "".join(TOKEN.findall(text)))
+    around = dominant("".join(c for c in letters if c not in AMBIGUOUS) or letters)
     return around, [t for t in dict.fromkeys(TOKEN.findall(text)) if not (t.isascii() and around == "Latin") and repairs(t, around)]
 
 

@@ -4,11 +4,28 @@ from __future__ import annotations
 
 from vellumix.storage import table
 
-from . import capping, confusables, line_dedup, oracle, splitting
+from . import capping, confusables, knn, line_dedup, near_dup, oracle, splitting
+
+
+VECTOR_KEY = ["id", "chunk_index"]
+
+
+def _p3_found(spark, sf_dir):
+    pairs = knn.close_pairs(table(spark, sf_dir, "chunk_vectors"), VECTOR_KEY)
+    return pairs.selectExpr("a.id as id_a", "cast(a.chunk_index as int) as chunk_a", "b.id as id_b", "cast(b.chunk_index as int) as chunk_b")
+
+
+def _p3_neighbours(spark, sf_dir):
+    """Five nearest of every row whose id is divisible by 50, against all rows."""
+    return knn.neighbours(table(spark, sf_dir, "chunk_vectors"), VECTOR_KEY, queries="key.id % 50 = 0")
 
 
 def queries() -> dict:
     return {
+        "p2_found": lambda s, d: near_dup.similar_pairs(table(s, d, "stories")),
+        "p2_groups": lambda s, d: near_dup.groups(table(s, d, "stories")),
+        "p3_found": _p3_found,
+        "p3_neighbours": _p3_neighbours,
         "p4_found": lambda s, d: capping.removed_rows(table(s, d, "stories")),
         "p4_contributors": lambda s, d: capping.contributor_report(table(s, d, "stories")),
         "p6_found": lambda s, d: splitting.oversized(table(s, d, "chunk_texts"), ["id", "chunk_index"]).selectExpr("id", "cast(chunk_index as int) as chunk_index"),
