@@ -7,9 +7,9 @@ best one, and goes on until it has reached ``visits`` leaves. The number of visi
 the recall that brute force measures on a bounded set of calibration queries reaches the target.
 
 Scale: the tree is bounded by ``MAX_LEAVES`` centres (4 MB) and goes to the tasks as a broadcast.
-A query travels once to each top-level branch in which it visits leaves, not once per leaf. Blocks
-of a branch hold a bounded number of vectors: a branch larger than ``BLOCK`` rows is divided by a
-hash, and its queries go to every block. Equal vectors are one point with at most k + 1 smallest
+A vector asks within the block where it lives at no cost and travels once to each other branch in
+which it visits leaves, not once per leaf. Blocks of a branch hold a bounded number of vectors: a
+branch larger than ``BLOCK`` rows is divided by a hash, and its queries go to every block. Equal vectors are one point with at most k + 1 smallest
 keys, so any number of copies costs one point; the exact answer of the others follows from it.
 
 Defined cases: vectors that are null, of another length, all zero or with a non-finite or null
@@ -21,9 +21,10 @@ than k neighbours give fewer rows; an empty table gives none. Other columns are
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+import xxhash
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vellumix.storage import written
@@ -32,7 +33,7 @@ from .common import map_arrow
 
 SAMPLE, MAX_LEAVES, LEAF, BLOCK = 20_000, 4096, 128, 20_000
 DIGITS = 6
-CALIBRATION = 200
+CALIBRATION = 500
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -105,61 +106,73 @@ class Tree:
 
 
 def usable(df: DataFrame, keys: list[str], vector: str, dim: int) -> DataFrame:
-    """(key columns, vec: bytes of the float32 unit vector) of the rows that take part, once each."""
+    """(key, pid, vec) of the rows that take part: pid is a hash of the unit vector, vec its float32 bytes.
+
+    Of equal vectors in one task only the first carries vec, so that no hot vector is sent around.
+    """
     kinds = dict(df.dtypes)
+    schema = "key struct<" + ",".join(f"{k}:{kinds[k]}" for k in keys) + ">, pid bigint, vec binary"
 
     def work(cols: dict) -> dict:
         col = cols[vector]
-        sizes = np.asarray(pa.compute.fill_null(pa.compute.list_value_length(col), 0))
+        sizes = np.asarray(pc.fill_null(pc.list_value_length(col), 0))
         fit = np.flatnonzero(sizes == dim)
-        x = np.asarray(pa.compute.fill_null(col.take(pa.array(fit)).flatten().cast(pa.float64()), float("nan"))).reshape(-1, dim)
+        x = np.asarray(pc.fill_null(col.take(pa.array(fit)).flatten().cast(pa.float64()), float("nan"))).reshape(-1, dim)
         good = np.isfinite(x).all(axis=1) & (x != 0).any(axis=1)
-        u = x[good] / np.abs(x[good]).max(axis=1, keepdims=True)
-        raw = np.ascontiguousarray(_unit(u).astype(np.float32)).tobytes()
+        raw = np.ascontiguousarray(_unit(x[good] / np.abs(x[good]).max(axis=1, keepdims=True)).astype(np.float32)).tobytes()
+        vecs = [raw[i : i + 4 * dim] for i in range(0, len(raw), 4 * dim)]
+        pids = [xxhash.xxh64_intdigest(v) - 2**63 for v in vecs]
+        seen: set[int] = set()
+        once = [None if p in seen or seen.add(p) else v for p, v in zip(pids, vecs)]
         rows = pa.array(fit[good])
-        return {k: cols[k].take(rows) for k in keys} | {"vec": [raw[i : i + 4 * dim] for i in range(0, len(raw), 4 * dim)]}
+        key = pa.StructArray.from_arrays([cols[k].take(rows) for k in keys], names=keys)
+        return {"key": key, "pid": pids, "vec": once}
 
-    schema = ", ".join(f"{k} {kinds[k]}" for k in keys) + ", vec binary"
-    rows = map_arrow(df.filter(" AND ".join(f"{k} IS NOT NULL" for k in keys)), [*keys, vector], schema, work)
-    return rows
+    return map_arrow(df.filter(" AND ".join(f"{k} IS NOT NULL" for k in keys)), [*keys, vector], schema, work, 20_000)
 
 
 def _matrix(col, dim: int) -> np.ndarray:
     return np.frombuffer(b"".join(col), np.float32).reshape(-1, dim)
 
 
-def _points(rows: DataFrame, keys: list[str], k: int) -> tuple[DataFrame, DataFrame]:
-    """(members: key, pid) and (points: pid, vec, first: the k + 1 smallest keys with that vector)."""
-    key = F.struct(*keys).alias("key")
-    one = rows.groupBy(*keys).agg(F.min("vec").alias("vec")).select(key, "vec", F.xxhash64("vec").alias("pid"))
-    one = written(one, "vectors")
-    # a hot vector: its smallest keys per task first, then overall
-    rank = F.row_number().over(_window("pid", "salt"))
-    first = one.select("key", "pid", F.pmod(F.xxhash64("key"), F.lit(64)).alias("salt")).withColumn("r", rank).filter(F.col("r") <= k + 1)
-    first = first.groupBy("pid").agg(F.slice(F.array_sort(F.collect_list("key")), 1, k + 1).alias("first"))
-    vecs = one.groupBy("pid").agg(F.min("vec").alias("vec"))
-    return one.select("key", "pid"), written(vecs.join(first, "pid"), "points")
-
-
-def _window(*cols):
-    from pyspark.sql import Window
+def _first_keys(members: DataFrame, k: int) -> DataFrame:
+    """(pid, first: the k + 1 smallest keys with that vector); a hot vector is cut down by salt first."""
+    salted = members.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(64)))
+    few = salted.withColumn("r", F.row_number().over(Window.partitionBy("pid", "salt").orderBy("key"))).filter(F.col("r") <= k + 1)
+    return few.groupBy("pid").agg(F.slice(F.array_sort(F.collect_list("key")), 1, k + 1).alias("first"))
 
-    return Window.partitionBy(*cols).orderBy("key")
 
+def _calibrated(vectors: DataFrame, tree, x: np.ndarray, k: int, dim: int, least: float | None, target: float) -> int:
+    """Smallest number of visits that reaches the target recall of brute force against all rows.
 
-def _calibrated(tree: Tree, x: np.ndarray, k: int, least: float | None, target: float) -> int:
-    """Smallest number of visits with the target recall of the sought neighbours, on the sample."""
+    The queries are ``CALIBRATION`` rows of the sample; every task returns its k best rows of each.
+    """
     q = x[np.linspace(0, len(x) - 1, min(CALIBRATION, len(x))).astype(int)]
-    sims = q @ x.T
-    sims[np.arange(len(q)), np.argmax(sims, axis=1)] = -2  # itself
-    top = np.argsort(-sims, axis=1)[:, :k]
-    sought = np.take_along_axis(sims, top, axis=1) >= (-1 if least is None else least)
-    if not sought.any():
+
+    def brute(batches):
+        best = np.full((len(q), k), -2.0, np.float32)
+        leaf = np.zeros((len(q), k), np.int32)
+        for batch in batches:
+            y = _matrix(batch.column(0).to_pylist(), dim)
+            for a in range(0, len(y), 4096):
+                part = y[a : a + 4096]
+                sims = q @ part.T
+                sims[sims > 1 - 1e-6] = -2  # itself and equal vectors
+                both = np.concatenate([best, sims], axis=1)
+                homes = np.concatenate([leaf, np.broadcast_to(tree.value.leaf(part).astype(np.int32), sims.shape)], axis=1)
+                top = np.argpartition(-both, k - 1, axis=1)[:, :k]
+                best, leaf = np.take_along_axis(both, top, axis=1), np.take_along_axis(homes, top, axis=1)
+        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.arange(len(q)), k), pa.int32()), pa.array(best.ravel().astype(np.float64)), pa.array(leaf.ravel())], names=["q", "sim", "leaf"])
+
+    found = vectors.select("vec").mapInArrow(brute, "q int, sim double, leaf int")
+    top = found.withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("sim")))).filter((F.col("r") <= k) & (F.col("sim") >= (-1 if least is None else least)))
+    rows = top.collect()  # at most CALIBRATION * k
+    if not rows:
         return 8
-    home, order = tree.leaf(x), tree.visit(q, len(tree.leaves))
+    order = tree.value.visit(q, len(tree.value.leaves))
     place = np.empty_like(order)
     np.put_along_axis(place, order, np.arange(order.shape[1], dtype=np.int32)[None, :], axis=1)
-    needed = np.sort(np.take_along_axis(place, home[top], axis=1)[sought]) + 1
+    needed = np.sort([place[r.q, r.leaf] for r in rows]) + 1
     return int(needed[min(len(needed) - 1, int(np.ceil(target * len(needed))))])
 
 
@@ -167,113 +180,106 @@ def neighbours(df: DataFrame, keys: list[str], vector: str = "embedding", dim: i
     """(key columns, nb_ key columns, rank, cosine): the k most similar rows of each query row.
 
     ``least`` bounds the cosine from below, so that only leaves that hold such neighbours are
-    calibrated for; ``queries`` is a condition on the key columns, all rows being asked by default.
+    calibrated for; ``queries`` is a condition on ``key``, all rows being asked by default.
     """
     spark = df.sparkSession
-    members, points = _points(usable(df, keys, vector, dim), keys, k)
-    n = points.count()
-    empty = members.select(*[F.col(f"key.{c}") for c in keys], *[F.col(f"key.{c}").alias(f"nb_{c}") for c in keys], F.lit(1).alias("rank"), F.lit(0.0).alias("cosine")).limit(0)
+    kept = written(usable(df, keys, vector, dim), "vectors")
+    members = written(kept.groupBy("key").agg(F.min("pid").alias("pid")), "members")
+    vectors = kept.filter("vec IS NOT NULL").select("pid", "vec")
+    n = vectors.count()
     if not n:
-        return empty
+        return members.select("key.*", *[F.col(f"key.{c}").alias(f"nb_{c}") for c in keys], F.lit(1).alias("rank"), F.lit(0.0).alias("cosine")).limit(0)
     rate = min(1.0, 1.1 * SAMPLE / n)
-    sample = points.filter(F.pmod(F.xxhash64("pid"), F.lit(1_000_000)) < int(rate * 1_000_000) + 1).select("vec").limit(SAMPLE).collect()  # bounded by SAMPLE
-    x = _matrix([r.vec for r in sample] or [points.first().vec], dim)
-    tree = Tree(x, n)
-    visits = _calibrated(tree, x, k, least, target)
-    shared = spark.sparkContext.broadcast(tree)
-
-    def to_branch(cols: dict) -> dict:
-        t = shared.value
-        return {"pid": cols["pid"], "vec": cols["vec"], "leaf": t.leaf(_matrix(cols["vec"].to_pylist(), dim)).astype(np.int32)}
-
-    placed = written(map_arrow(points, ["pid", "vec"], "pid bigint, vec binary, leaf int", to_branch), "placed")
-    branch_of = [int(b) for b in tree.branch_of]
-    sizes = np.zeros(len(tree.branches), np.int64)
-    for r in placed.groupBy("leaf").count().collect():  # at most MAX_LEAVES
-        sizes[branch_of[r.leaf]] += r["count"]
+    sample = vectors.filter(F.pmod(F.xxhash64("pid"), F.lit(1_000_000)) <= int(rate * 1_000_000)).select("vec").limit(SAMPLE).collect()  # bounded by SAMPLE, for the tree only
+    x = _matrix([r.vec for r in sample] or [vectors.first().vec], dim)
+    shared = spark.sparkContext.broadcast(Tree(x, n))
+    visits = _calibrated(vectors, shared, x, k, dim, least, target)
+
+    def count(cols: dict) -> dict:
+        leaf, size = np.unique(shared.value.leaf(_matrix(cols["vec"].to_pylist(), dim)), return_counts=True)
+        return {"leaf": leaf.astype(np.int32), "size": size.astype(np.int64)}
+
+    sizes = np.zeros(len(shared.value.branches), np.int64)
+    for r in map_arrow(vectors, ["vec"], "leaf int, size bigint", count, 20_000).groupBy("leaf").agg(F.sum("size").alias("size")).collect():  # at most MAX_LEAVES
+        sizes[shared.value.branch_of[r.leaf]] += r["size"]
     blocks = np.maximum(1, -(-sizes // BLOCK))
 
     def spread(cols: dict) -> dict:
+        """A row where each vector lives, with the leaves it asks there, and one for every other block that it asks."""
         t = shared.value
-        leaf = np.asarray(cols["leaf"])
-        b = t.branch_of[leaf]
-        salt = np.asarray(cols["pid"]).view(np.uint64) % blocks[b].astype(np.uint64)
-        return {"branch": b.astype(np.int32), "block": salt.astype(np.int32), "pid": cols["pid"], "vec": cols["vec"], "leaf": leaf.astype(np.int32)}
-
-    base = map_arrow(placed, ["pid", "vec", "leaf"], "branch int, block int, pid bigint, vec binary, leaf int", spread)
-
-    def ask(cols: dict) -> dict:
-        t = shared.value
-        pid, vec = np.asarray(cols["pid"]), cols["vec"].to_pylist()
-        seen = t.visit(_matrix(vec, dim), visits)
-        branch, block, who, leaves = [], [], [], []
+        pid, vec, asks = np.asarray(cols["pid"]), cols["vec"].to_pylist(), cols["asks"].to_pylist()
+        x = _matrix(vec, dim)
+        home, seen = t.leaf(x), t.visit(x, visits)
+        salt = (pid.view(np.uint64) % blocks[t.branch_of[home]].astype(np.uint64)).astype(np.int64)
+        out: list[tuple] = []
         for i, row in enumerate(seen):
+            hb, hs = t.branch_of[home[i]], salt[i]
             own = t.branch_of[row]
-            for b in np.unique(own):
-                for s in range(blocks[b]):
-                    branch.append(b)
-                    block.append(s)
-                    who.append(i)
-                    leaves.append(row[own == b].tolist())
-        return {"branch": np.array(branch, np.int32), "block": np.array(block, np.int32), "pid": pid[who], "vec": [vec[i] for i in who], "leaves": leaves}
-
-    asking = placed
+            out.append((hb, hs, i, home[i], row[own == hb].tolist() if asks[i] else []))
+            if asks[i]:
+                for b in np.unique(own):
+                    out += [(b, s, i, -1, row[own == b].tolist()) for s in range(blocks[b]) if (b, s) != (hb, hs)]
+        branch, block, who, leaf, leaves = zip(*out)
+        return {"branch": np.array(branch, np.int32), "block": np.array(block, np.int32), "pid": pid[list(who)], "vec": [vec[i] for i in who], "leaf": np.array(leaf, np.int32), "leaves": list(leaves)}
+
     if queries:
-        asking = placed.join(members.filter(queries).select("pid").distinct(), "pid", "left_semi")
-    questions = map_arrow(asking, ["pid", "vec"], "branch int, block int, pid bigint, vec binary, leaves array<int>", ask)
-
-    def answer(b: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
-        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        if len(b) and len(q):
-            b = b.sort_values(["leaf", "pid"])
-            bx, bp, leaf = _matrix(b["vec"], dim), b["pid"].to_numpy(), b["leaf"].to_numpy()
-            qx, qp = _matrix(q["vec"], dim), q["pid"].to_numpy()
-            flat = np.concatenate([np.asarray(v) for v in q["leaves"]])
-            row = np.repeat(np.arange(len(q)), [len(v) for v in q["leaves"]])
-            order = np.argsort(flat, kind="stable")
-            flat, row = flat[order], row[order]
-            for at in np.flatnonzero(np.r_[True, flat[1:] != flat[:-1]]):
-                lf = flat[at]
-                rows = row[at : np.searchsorted(flat, lf, side="right")]
-                lo, hi = np.searchsorted(leaf, lf), np.searchsorted(leaf, lf, side="right")
-                for c in range(0, len(rows) if hi > lo else 0, 2048):
-                    r = rows[c : c + 2048]
-                    sims = qx[r] @ bx[lo:hi].T
-                    sims[qp[r][:, None] == bp[None, lo:hi]] = -3
-                    if hi - lo > k + 2:
-                        # all that tie with the k-th are kept, so that rounding can't lose the smaller key
-                        kth = -np.partition(-sims, k - 1, axis=1)[:, k - 1 : k]
-                        near = sims >= np.maximum(kth - 2 * 10.0**-DIGITS, -2)
-                    else:
-                        near = sims > -2
-                    if least is not None:
-                        near &= sims >= least - 1e-4
-                    i, j = np.nonzero(near)
-                    exact = np.einsum("ij,ij->i", qx[r[i]].astype(np.float64), bx[lo + j].astype(np.float64))
-                    out.append((qp[r[i]], bp[lo + j], np.round(exact, DIGITS)))
-        cols = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
-        res = pd.DataFrame(dict(zip(("pid", "nb", "cosine"), cols)))
-        if len(res):  # no more than needed leaves the block
-            kth = res.groupby("pid")["cosine"].transform(lambda s: np.partition(s.to_numpy(), -k)[-k] if len(s) > k else -2.0)
-            res = res[res["cosine"] >= kth]
-        return res
-
-    found = base.groupBy("branch", "block").cogroup(questions.groupBy("branch", "block")).applyInPandas(answer, "pid bigint, nb bigint, cosine double")
+        asking = vectors.join(members.filter(queries).select("pid").distinct().withColumn("asks", F.lit(True)), "pid", "left").withColumn("asks", F.coalesce("asks", F.lit(False)))
+    else:
+        asking = vectors.withColumn("asks", F.lit(True))
+    placed = map_arrow(asking, ["pid", "vec", "asks"], "branch int, block int, pid bigint, vec binary, leaf int, leaves array<int>", spread)
+
+    def answer(table: pa.Table) -> pa.Table:
+        pid, leaf = np.asarray(table["pid"]), np.asarray(table["leaf"])
+        x = _matrix(table["vec"].to_pylist(), dim)
+        lists = table["leaves"].combine_chunks()
+        row = np.repeat(np.arange(len(pid)), np.asarray(pc.list_value_length(lists)))
+        asked = np.asarray(lists.flatten())
+        base = np.flatnonzero(leaf >= 0)
+        base = base[np.unique(pid[base], return_index=True)[1]]  # equal vectors of several tasks
+        base = base[np.argsort(leaf[base], kind="stable")]
+        at_leaf = leaf[base]
+        order = np.argsort(asked, kind="stable")
+        asked, row = asked[order], row[order]
+        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        for at in np.flatnonzero(np.r_[True, asked[1:] != asked[:-1]]) if len(asked) else ():
+            lf = asked[at]
+            rows = row[at : np.searchsorted(asked, lf, side="right")]
+            mine = base[np.searchsorted(at_leaf, lf) : np.searchsorted(at_leaf, lf, side="right")]
+            for c in range(0, len(rows) if len(mine) else 0, 2048):
+                r = rows[c : c + 2048]
+                sims = x[r] @ x[mine].T
+                sims[pid[r][:, None] == pid[mine][None, :]] = -3
+                near = sims > -2
+                if len(mine) > k:  # all that may tie with the k-th stay, so that rounding can't lose the smaller key
+                    near &= sims >= -np.partition(-sims, k - 1, axis=1)[:, k - 1 : k] - 2 * 10.0**-DIGITS
+                if least is not None:
+                    near &= sims >= least - 1e-4
+                i, j = np.nonzero(near)
+                exact = np.einsum("ij,ij->i", x[r[i]].astype(np.float64), x[mine[j]].astype(np.float64))
+                out.append((pid[r[i]], pid[mine[j]], np.round(exact, DIGITS)))
+        a, b, cosine = (np.concatenate(c) for c in zip(*out))
+        order = np.lexsort((-cosine, a))
+        a, b, cosine = a[order], b[order], cosine[order]
+        start = np.flatnonzero(np.r_[True, a[1:] != a[:-1]])[np.cumsum(np.r_[True, a[1:] != a[:-1]]) - 1] if len(a) else np.zeros(0, np.int64)
+        kth = cosine[np.minimum(start + k - 1, len(a) - 1)]
+        keep = (np.arange(len(a)) - start < k) | ((cosine == kth) & (a[np.minimum(start + k - 1, len(a) - 1)] == a)) if len(a) else np.zeros(0, bool)
+        return pa.table({"pid": a[keep], "nb": b[keep], "cosine": cosine[keep]})
+
+    found = placed.groupBy("branch", "block").applyInArrow(answer, "pid bigint, nb bigint, cosine double")
     if least is not None:
         found = found.filter(F.col("cosine") >= least)
-    # points -> keys: every point stands for its k + 1 smallest keys, the query's own point included
-    same = points.filter(F.size("first") > 1).select("pid", F.col("pid").alias("nb"), F.lit(1.0).alias("cosine"))
-    lists = found.unionByName(same).distinct().join(points.select(F.col("pid").alias("nb"), "first"), "nb").select("pid", "cosine", F.explode("first").alias("nb"))
-    from pyspark.sql import Window
-
+    # every vector stands for its k + 1 smallest keys; equal keys of the query's own vector are neighbours too
+    first = written(_first_keys(members, k), "first")
+    same = first.filter(F.size("first") > 1).select("pid", F.col("pid").alias("nb"), F.lit(1.0).alias("cosine"))
+    lists = found.unionByName(same).distinct().join(first.withColumnRenamed("pid", "nb"), "nb").select("pid", "cosine", F.explode("first").alias("nb"))
     best = lists.withColumn("r", F.row_number().over(Window.partitionBy("pid").orderBy(F.desc("cosine"), "nb"))).filter(F.col("r") <= k + 1)
     asked = members.filter(queries) if queries else members
     joined = asked.join(best, "pid").filter(F.col("key") != F.col("nb"))
     ranked = joined.withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy("r"))).filter(F.col("rank") <= k)
-    return ranked.select(*[F.col(f"key.{c}") for c in keys], *[F.col(f"nb.{c}").alias(f"nb_{c}") for c in keys], "rank", "cosine")
+    return ranked.select("key.*", *[F.col(f"nb.{c}").alias(f"nb_{c}") for c in keys], "rank", "cosine")
 
 
-def close_pairs(df: DataFrame, keys: list[str], vector: str = "embedding", dim: int = 128, k: int = 5, least: float = 0.8, target: float = 0.995) -> DataFrame:
+def close_pairs(df: DataFrame, keys: list[str], vector: str = "embedding", dim: int = 128, k: int = 5, least: float = 0.8, target: float = 0.999) -> DataFrame:
     """Unordered pairs, smaller key first, of which one is among the other's k nearest with cosine >= ``least``."""
     near = neighbours(df, keys, vector, dim, k, least, target)
     a, b = F.struct(*[F.col(c) for c in keys]), F.struct(*[F.col(f"nb_{c}").alias(c) for c in keys])

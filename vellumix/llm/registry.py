@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from vellumix.storage import table
 
-from . import capping, confusables, knn, line_dedup, near_dup, oracle, splitting
+from . import capping, confusables, knn, line_dedup, near_dup, oracle, splitting, text_stats
 
 
 VECTOR_KEY = ["id", "chunk_index"]
@@ -22,6 +22,8 @@ def _p3_neighbours(spark, sf_dir):
 
 def queries() -> dict:
     return {
+        "p1_found": lambda s, d: text_stats.not_prose(table(s, d, "stories")),
+        "p1_statistics": lambda s, d: text_stats.compared(table(s, d, "stories")),
         "p2_found": lambda s, d: near_dup.similar_pairs(table(s, d, "stories")),
         "p2_groups": lambda s, d: near_dup.groups(table(s, d, "stories")),
         "p3_found": _p3_found,
