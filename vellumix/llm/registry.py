@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from vellumix.storage import table
 
-from . import capping, confusables, knn, line_dedup, near_dup, oracle, splitting, text_stats
+from . import capping, confusables, knn, line_dedup, near_dup, oracle, safety, splitting, text_stats
 
 
 VECTOR_KEY = ["id", "chunk_index"]
@@ -30,6 +30,9 @@ def queries() -> dict:
         "p3_neighbours": _p3_neighbours,
         "p4_found": lambda s, d: capping.removed_rows(table(s, d, "stories")),
         "p4_contributors": lambda s, d: capping.contributor_report(table(s, d, "stories")),
+        "p5_found": lambda s, d: safety.unsafe_ids(table(s, d, "raw_stories"), table(s, d, "screen_terms")),
+        "p5_scores": lambda s, d: safety.scored(table(s, d, "raw_stories"), table(s, d, "screen_terms")),
+        "p5_source_rates": lambda s, d: safety.rates(table(s, d, "raw_stories"), table(s, d, "screen_terms")),
         "p6_found": lambda s, d: splitting.oversized(table(s, d, "chunk_texts"), ["id", "chunk_index"]).selectExpr("id", "cast(chunk_index as int) as chunk_index"),
         "p6_pieces": lambda s, d: splitting.split_items(table(s, d, "chunk_texts"), ["id", "chunk_index"]),
         "p7_found": lambda s, d: line_dedup.repeated_lines(table(s, d, "raw_stories")).select("id", "line_no").distinct(),

@@ -29,14 +29,15 @@ MIN_WORDS, RUN_WORDS, WINDOW = 12, 40, 60
 MAX_SYMBOLS, MAX_DIGITS, MAX_ODD_TOKENS = 0.10, 0.20, 0.25
 MIN_COMMON, MIN_DISTINCT = 0.12, 0.20
 #: Frequent function words of the languages of the data.
-COMMON = frozenset(
-    """the a an and or but of to in on at by for with from as is was were be been it he she they his her their that this not no had have who what nobody i you me said when would so than more
-    le la les un une des du de et ou mais à dans sur par pour avec il elle ils que qui ne pas se sa son ses au aux était sous entre où
-    der die das ein eine einen einem den dem des und oder aber zu im am an auf von mit für er sie es war nicht wie sich lag niemand zwischen über
-    el los las una y o pero en por para con su sus que no se lo del al era entre sobre nadie cuando como más
-    и в на с не что он она они как его её их из за по к у от но же бы был была было это только никто через под над между
-    ο η το οι τα τον την του της των και σε στο στη στην στον με για από που δεν ήταν να θα μια ένα ένας πάνω κάτω""".split()
-)
+FUNCTION_WORDS = {
+    "en": "the a an and or but of to in on at by for with from as is was were be been it he she they his her their that this not no had have who what nobody i you me said when would so than more",
+    "fr": "le la les un une des du de et ou mais à dans sur par pour avec il elle ils que qui ne pas se sa son ses au aux était sous entre où",
+    "de": "der die das ein eine einen einem den dem des und oder aber zu im am an auf von mit für er sie es war nicht wie sich lag niemand zwischen über",
+    "es": "el la los las una y o pero en de por para con su sus que no se lo del al era entre sobre nadie cuando como más",
+    "ru": "и в на с не что он она они как его её их из за по к у от но же бы был была было это только никто через под над между",
+    "el": "ο η το οι τα τον την του της των και σε στο στη στην στον με για από που δεν ήταν να θα μια ένα ένας πάνω κάτω",
+}
+COMMON = frozenset(" ".join(FUNCTION_WORDS.values()).split())
 WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)?")
 BULLET = re.compile(r"\s*(?:[-*•·–▪●◦+>]|\d{1,3}[.)]|[a-z]\))\s+\S")
 SENTENCE = re.compile(r"[.!?…。！？]+[\"'”’»)\]]*(?:\s+|$)|[。！？]")
@@ -46,6 +47,19 @@ ODD_TOKEN = re.compile(r"(?=\S*[^\W\d_])(?=\S*[\d_=\\/{}\[\]<>|#~^@%+*!])[^\W_]\
 KANA = re.compile("[\\u3040-\\u309f]")
 
 
+_BY_LANGUAGE = {k: frozenset(v.split()) for k, v in FUNCTION_WORDS.items()}
+
+
+def guess_language(text: str) -> str:
+    """The language whose function words are most frequent; ja by its kana; und where none occurs."""
+    if not text.isascii() and len(KANA.findall(text)) > 0.1 * len(text):
+        return "ja"
+    words = text.lower().split()
+    hits = {k: sum(w in v for w in words) for k, v in _BY_LANGUAGE.items()}
+    best = max(hits, key=hits.get)
+    return best if hits[best] else "und"
+
+
 def _classes() -> np.ndarray:
     """For each code point of the basic plane: 0 blank, 1 letter or mark, 2 digit, 3 usual punctuation, 4 symbol."""
     import unicodedata
