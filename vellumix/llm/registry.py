@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from vellumix.storage import table
+from vellumix.storage import table, written
 
-from . import capping, confusables, knn, line_dedup, near_dup, oracle, safety, splitting, text_stats
+from . import capping, confusables, knn, line_dedup, mixing, near_dup, oracle, packing, safety, splitting, text_stats
 
 
 VECTOR_KEY = ["id", "chunk_index"]
@@ -20,6 +20,14 @@ def _p3_neighbours(spark, sf_dir):
     return knn.neighbours(table(spark, sf_dir, "chunk_vectors"), VECTOR_KEY, queries="key.id % 50 = 0")
 
 
+def _p8_containers(spark, sf_dir):
+    return packing.pack_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "pack_limits"))
+
+
+def _p9_mixture(spark, sf_dir):
+    return mixing.mixture(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))
+
+
 def queries() -> dict:
     return {
         "p1_found": lambda s, d: text_stats.not_prose(table(s, d, "stories")),
@@ -37,6 +45,10 @@ def queries() -> dict:
         "p6_pieces": lambda s, d: splitting.split_items(table(s, d, "chunk_texts"), ["id", "chunk_index"]),
         "p7_found": lambda s, d: line_dedup.repeated_lines(table(s, d, "raw_stories")).select("id", "line_no").distinct(),
         "p7_clean": lambda s, d: line_dedup.without_repeated_lines(table(s, d, "raw_stories")),
+        "p8_containers": _p8_containers,
+        "p8_fill": lambda s, d: packing.report(_p8_containers(s, d)),
+        "p9_mixture": _p9_mixture,
+        "p9_shares": lambda s, d: mixing.shares(written(_p9_mixture(s, d), "mixture"), table(s, d, "mix_targets")),
         "p10_found": lambda s, d: confusables.lookalike_pairs(table(s, d, "documents")).withColumnsRenamed({"id_a": "doc_id_a", "id_b": "doc_id_b"}),
         "p10_unified": lambda s, d: confusables.look_classes(table(s, d, "documents")).withColumnRenamed("id", "doc_id"),
     }
