@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import BARE_WORD, excerpt, text_or_empty
+from .text import BARE_WORD, excerpt, let, text_or_empty
 
 #: Lower bound of each tier.
 TIERS = [(78.0, "Tier 1"), (62.0, "Tier 2"), (45.0, "Tier 3"), (None, "Tier 4")]
@@ -86,8 +86,9 @@ def matching_labels(c: Column, rules: dict[str, str], default: str | None = None
 def point_of_view(c: Column, first_chars: int = 3000) -> Column:
     """By pronouns in the first characters: second person if most frequent, first if more than 0.8 of third."""
     tokens = F.regexp_extract_all(F.substring(F.lower(c), 1, first_chars), F.lit(BARE_WORD), F.lit(0))
-    i, you, they = (F.size(F.filter(tokens, lambda w, ws=ws: w.isin(*ws))) for ws in (I_WORDS, YOU_WORDS, THEY_WORDS))
-    return F.when((you > i) & (you > they), "Second Person").when(i > they * 0.8, "First Person").otherwise("Third Person")
+    share = lambda t, ws: F.size(F.filter(t, lambda w: w.isin(*ws)))
+    counts = let(tokens, lambda t: F.struct(share(t, I_WORDS).alias("i"), share(t, YOU_WORDS).alias("you"), share(t, THEY_WORDS).alias("they")))
+    return let(counts, lambda n: F.when((n.you > n.i) & (n.you > n.they), "Second Person").when(n.i > n.they * 0.8, "First Person").otherwise("Third Person"))
 
 
 def pacing(dialogue: Column, sentence: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vellumix.functions.text import json_strings
@@ -43,10 +43,14 @@ def canonical_counts(catalog: DataFrame, dims: list[str]) -> DataFrame:
     return catalog.filter("is_canonical = 1").select(pairs).groupBy("p.dim", "p.label").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _named(dim: str, labels: Column, struct) -> Column:
+    return F.transform(labels, lambda x: struct(dim, x))
+
+
 def distributions(catalog: DataFrame, arrays: list[str], scalars: list[str], most: int = 40) -> DataFrame:
     """(dim, label, n): the most frequent labels of every dimension; ties by label."""
     struct = lambda d, c: F.struct(F.lit(d).alias("dim"), c.cast("string").alias("label"))
-    parts = [F.transform(json_strings(F.col(d)), lambda x, d=d: struct(d, x)) for d in arrays]
+    parts = [_named(d, json_strings(F.col(d)), struct) for d in arrays]
     parts.append(F.array(*[struct(d, F.col(d)) for d in scalars]))
     n = passed(catalog).select(F.explode(F.concat(*parts)).alias("p")).groupBy("p.dim", "p.label").agg(F.count(F.lit(1)).alias("n"))
     rank = F.row_number().over(Window.partitionBy("dim").orderBy(F.desc("n"), F.asc_nulls_last("label")))

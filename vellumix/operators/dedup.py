@@ -7,6 +7,7 @@ pairs that is the lexicographically first maximal independent set, found here in
 from __future__ import annotations
 
 import hashlib
+import re
 
 import numpy as np
 import pandas as pd
@@ -14,22 +15,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
-from vellumix.functions.text import BARE_WORD, normalized_hash, text_or_empty
+from vellumix.functions.text import BARE_WORD, let, normalized_hash, text_or_empty
 from vellumix.storage import written
 
 #: Fixed values of the 64-slot sketch.
 SLOTS, PRIME = 64, 4294967311
 COEFFICIENTS = [((i * 10007 + 3) % PRIME, (i * 20011 + 7) % PRIME) for i in range(1, SLOTS + 1)]
+_WORDS = re.compile(r"\w+")
 #: Fixed values of the 128-slot sketch: slots, rows of a band, words of a shingle, prime.
 WIDE_SLOTS, BAND_ROWS, WIDE_K, MERSENNE = 128, 4, 5, 2**31 - 1
 
 
 def shingles(c: Column, k: int = 4) -> Column:
     """Distinct runs of k words; the joined words if there are fewer than k; empty without words."""
-    w = F.regexp_extract_all(F.lower(text_or_empty(c)), F.lit(BARE_WORD), F.lit(0))
-    n = F.size(w)
-    runs = F.transform(F.sequence(F.lit(1), F.greatest(n - k + 1, F.lit(1))), lambda i: F.array_join(F.slice(w, i, F.lit(k)), " "))
-    return F.when(n == 0, F.array().cast("array<string>")).otherwise(F.array_distinct(runs))
+    def runs(w: Column) -> Column:
+        n = F.size(w)
+        each = F.transform(F.sequence(F.lit(1), F.greatest(n - k + 1, F.lit(1))), lambda i: F.array_join(F.slice(w, i, F.lit(k)), " "))
+        return F.when(n == 0, F.array().cast("array<string>")).otherwise(F.array_distinct(each))
+
+    return let(F.regexp_extract_all(F.lower(text_or_empty(c)), F.lit(BARE_WORD), F.lit(0)), runs)
 
 
 def jaccard(a: Column, b: Column) -> Column:
@@ -38,12 +42,24 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.when((F.size(a) == 0) & (F.size(b) == 0), 1.0).otherwise(F.round(common / F.greatest(F.size(a) + F.size(b) - common, F.lit(1)), 4))
 
 
-def minhash64(sh: Column) -> Column:
-    """64 minima of (a * h + b) mod p over 32-bit hashes of the shingles; zeros for the empty set."""
-    h = F.transform(sh, lambda s: F.conv(F.substring(F.md5(s), 1, 8), 16, 10).cast("bigint"))
-    pairs = F.array(*[F.struct(F.lit(a).cast("bigint").alias("a"), F.lit(b).cast("bigint").alias("b")) for a, b in COEFFICIENTS])
-    minima = F.transform(pairs, lambda p: F.array_min(F.transform(h, lambda x: (p.a * x + p.b) % PRIME)))
-    return F.when(F.size(sh) == 0, F.array_repeat(F.lit(0).cast("bigint"), SLOTS)).otherwise(minima)
+def sketch64(text: str, k: int = 4) -> list[int]:
+    """64 minima of (a * h + b) mod p over 32-bit hashes of the shingles; zeros without words."""
+    w = _WORDS.findall(text.lower())
+    sh = {" ".join(w[i : i + k]) for i in range(max(1, len(w) - k + 1))} if w else ()
+    if not sh:
+        return [0] * SLOTS
+    h = np.array([int(hashlib.md5(x.encode()).hexdigest()[:8], 16) for x in sh], np.int64)
+    a, b = (np.array(x, np.int64)[:, None] for x in zip(*COEFFICIENTS))
+    best = np.full(SLOTS, PRIME, np.int64)
+    for at in range(0, len(h), 4096):  # products stay below 2 ** 53
+        best = np.minimum(best, ((a * h[None, at : at + 4096] + b) % PRIME).min(axis=1))
+    return best.tolist()
+
+
+@F.pandas_udf(ArrayType(LongType()))
+def minhash64(s: pd.Series) -> pd.Series:
+    """The 64-slot sketch of a text. In lambdas it would take 64 interpreted passes over the shingles."""
+    return s.map(lambda t: sketch64(t or ""))
 
 
 def agreement(a: Column, b: Column) -> Column:
@@ -101,8 +117,13 @@ def minhash128(s: pd.Series) -> pd.Series:
 
 def stored_signature(name: str) -> Column:
     """The 128 little-endian 32-bit numbers of a binary column as an array; null for null."""
-    slots = [F.expr(f"cast(conv(hex(reverse(substring({name}, {4 * i + 1}, 4))), 16, 10) as bigint)") for i in range(WIDE_SLOTS)]
-    return F.when(F.length(name) == 4 * WIDE_SLOTS, F.array(*slots))
+    slots = let(F.hex(name), lambda h: F.transform(F.sequence(F.lit(0), F.lit(WIDE_SLOTS - 1)), lambda i: _slot(h, i)))
+    return F.when(F.length(name) == 4 * WIDE_SLOTS, slots)
+
+
+def _slot(h: Column, i: Column) -> Column:
+    byte = lambda k: F.substr(h, (i * 8 + k).cast("int"), F.lit(2))
+    return F.conv(F.concat(byte(7), byte(5), byte(3), byte(1)), 16, 10).cast("bigint")
 
 
 def bands(df: DataFrame, id_col: str, sig: str, rows: int = BAND_ROWS) -> DataFrame:

@@ -17,7 +17,8 @@ TABLES = {"setting": PLACES, "character": ROLES, "dynamic": THEMES}
 def mentions(df: DataFrame, id_col: str, text: str, tables: dict[str, dict[str, str]] | None = None, first_chars: int = 6000, topic: str | None = None) -> DataFrame:
     """(story_id, etype, label), one row for each label found; ``topic`` names a column that is a label itself."""
     low = F.lower(F.substring(text_or_empty(F.col(text)), 1, first_chars))
-    parts = [F.transform(matching_labels(low, rules), lambda x, e=etype: F.struct(F.lit(e).alias("etype"), x.alias("label"))) for etype, rules in (tables or TABLES).items()]
+    typed = lambda etype, labels: F.transform(labels, lambda x: F.struct(F.lit(etype).alias("etype"), x.alias("label")))
+    parts = [typed(etype, matching_labels(low, rules)) for etype, rules in (tables or TABLES).items()]
     if topic:
         parts.append(F.filter(F.array(F.struct(F.lit("topic").alias("etype"), F.initcap(F.replace(F.col(topic), F.lit("_"), F.lit(" "))).alias("label"))), lambda s: s.label.isNotNull()))
     return df.select(F.col(id_col).alias("story_id"), F.inline(F.concat(*parts)))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import IDF, CountVectorizer, HashingTF, NGram, Normalizer, RegexTokenizer, SQLTransformer, StopWordsRemover
@@ -10,6 +12,7 @@ from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 from .vectors import top_k
 
@@ -46,12 +49,9 @@ class Lsa:
 
     def transform(self, df: DataFrame) -> DataFrame:
         """``df`` with ``topic_vector``."""
-        import numpy as np
-        import pandas as pd
-
         basis = df.sparkSession.sparkContext.broadcast(np.array(self.basis))
 
-        @F.pandas_udf("array<double>")
+        @F.pandas_udf(ArrayType(DoubleType()))
         def project(s: pd.Series) -> pd.Series:
             x = np.stack(s.to_numpy()) @ basis.value if len(s) else np.zeros((0, 1))
             norm = np.linalg.norm(x, axis=1, keepdims=True)

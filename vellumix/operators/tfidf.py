@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vellumix.functions.text import text_or_empty
+from vellumix.functions.text import let, text_or_empty
 from vellumix.storage import written
 
 VOCABULARY = 1024
@@ -14,9 +14,12 @@ VOCABULARY = 1024
 def terms(c: Column) -> Column:
     """Words of three or more letters a-z standing alone, then adjacent pairs of them joined by _."""
     runs = F.regexp_extract_all(F.lower(text_or_empty(c)), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))
-    w = F.filter(runs, lambda x: x.rlike("^[a-z]{3,}$"))
-    pairs = F.zip_with(w, F.slice(w, 2, F.greatest(F.size(w), F.lit(1))), lambda a, b: F.concat(a, F.lit("_"), b))
-    return F.concat(w, F.filter(pairs, lambda x: x.isNotNull()))
+
+    def with_pairs(w: Column) -> Column:
+        pairs = F.zip_with(w, F.slice(w, 2, F.greatest(F.size(w), F.lit(1))), lambda a, b: F.concat(a, F.lit("_"), b))
+        return F.concat(w, F.filter(pairs, lambda x: x.isNotNull()))
+
+    return let(F.filter(runs, lambda x: x.rlike("^[a-z]{3,}$")), with_pairs)
 
 
 def vocabulary(df: DataFrame, text: str, most: int = VOCABULARY, least_docs: int = 1) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -108,7 +108,7 @@ def deflate_udf():
     return deflated
 
 
-def from_base64(c: str) -> F.col:
+def from_base64(c: str) -> Column:
     """Inflated text of a base64 column; empty for null or malformed input."""
     return inflated(F.expr(f"try_to_binary({c}, 'base64')"))
 
