@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import BARE_WORD, WS, nonblank_parts, strip, text_or_empty, words
+from .text import BARE_WORD, WS, has_ink, nonblank_parts, text_or_empty, words
 
 QUOTED = r"[\"“][^\"”]+[\"”]"
 SENTENCE_END = rf"[.!?]+(?:{WS}+|\z)"
@@ -43,12 +43,16 @@ def with_metrics(df: DataFrame, text: str, scan_chars: int | None = None, lexico
     still divides by all words unless ``parity`` is off. Blank text has zeros everywhere.
     """
     t = text_or_empty(F.col(text))
-    scanned = F.substring(t, 1, scan_chars) if scan_chars else t
+    # every base value is a column of a stage of its own, so that no later expression repeats it
     step = df.withColumns({"_t": t, "_words": words(t)})
-    step = step.withColumns({"_scan": F.col("_words") if not scan_chars else words(scanned), "_quoted": quoted_words(scanned)})
-    n = F.size("_words")
-    sentences = F.greatest(F.size(nonblank_parts(F.col("_t"), SENTENCE_END)), F.lit(1))
-    scan_n = F.size("_scan")
+    scanned = F.substring("_t", 1, scan_chars) if scan_chars else F.col("_t")
+    step = step.withColumns({
+        "_scan": words(scanned) if scan_chars else F.col("_words"),
+        "_quoted": quoted_words(scanned),
+        "_sentences": F.greatest(F.size(nonblank_parts(F.col("_t"), SENTENCE_END)), F.lit(1)),
+        "_blank": ~has_ink(F.col("_t")),
+    })
+    n, sentences, scan_n = F.size("_words"), F.col("_sentences"), F.size("_scan")
     values = {
         "word_count": n,
         "char_count": F.length("_t"),
@@ -61,15 +65,14 @@ def with_metrics(df: DataFrame, text: str, scan_chars: int | None = None, lexico
         "marked_density": pattern_share(F.col("_scan"), marked),
         "audio_min": F.round(n / float(WORDS_PER_MINUTE), 1),
     }
-    blank = strip(F.col("_t")) == ""
     kinds = {k: "int" if k.endswith("_count") else "double" for k in values}
-    struct = F.struct(*[F.when(blank, F.lit(0)).otherwise(v).cast(kinds[k]).alias(k) for k, v in values.items()])
-    return step.withColumn("metrics", struct).drop("_t", "_words", "_scan", "_quoted")
+    struct = F.struct(*[F.when(F.col("_blank"), F.lit(0)).otherwise(v).cast(kinds[k]).alias(k) for k, v in values.items()])
+    return step.withColumn("metrics", struct).drop("_t", "_words", "_scan", "_quoted", "_sentences", "_blank")
 
 
 def word_frequency(df: DataFrame, text: str, limit: int) -> DataFrame:
     """The most frequent words; equal counts are ordered by the word."""
-    return df.select(F.explode(words(text_or_empty(F.col(text)))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "word").limit(limit)
+    return df.select(F.explode_outer(words(text_or_empty(F.col(text)))).alias("word")).filter("word IS NOT NULL").groupBy("word").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "word").limit(limit)
 
 
 def upper_median(c: Column) -> Column:

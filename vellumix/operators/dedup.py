@@ -115,15 +115,10 @@ def minhash128(s: pd.Series) -> pd.Series:
     return s.map(lambda t: wide_signature(t or "", _MEMO).tolist())
 
 
-def stored_signature(name: str) -> Column:
-    """The 128 little-endian 32-bit numbers of a binary column as an array; null for null."""
-    slots = let(F.hex(name), lambda h: F.transform(F.sequence(F.lit(0), F.lit(WIDE_SLOTS - 1)), lambda i: _slot(h, i)))
-    return F.when(F.length(name) == 4 * WIDE_SLOTS, slots)
-
-
-def _slot(h: Column, i: Column) -> Column:
-    byte = lambda k: F.substr(h, (i * 8 + k).cast("int"), F.lit(2))
-    return F.conv(F.concat(byte(7), byte(5), byte(3), byte(1)), 16, 10).cast("bigint")
+@F.pandas_udf(ArrayType(LongType()))
+def stored_signature(s: pd.Series) -> pd.Series:
+    """The 128 little-endian 32-bit numbers of a binary column as an array; null for null or another length."""
+    return s.map(lambda b: np.frombuffer(b, "<u4").astype(np.int64).tolist() if b is not None and len(b) == 4 * WIDE_SLOTS else None)
 
 
 def bands(df: DataFrame, id_col: str, sig: str, rows: int = BAND_ROWS) -> DataFrame:

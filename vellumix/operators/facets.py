@@ -21,7 +21,7 @@ def mentions(df: DataFrame, id_col: str, text: str, tables: dict[str, dict[str,
     parts = [typed(etype, matching_labels(low, rules)) for etype, rules in (tables or TABLES).items()]
     if topic:
         parts.append(F.filter(F.array(F.struct(F.lit("topic").alias("etype"), F.initcap(F.replace(F.col(topic), F.lit("_"), F.lit(" "))).alias("label"))), lambda s: s.label.isNotNull()))
-    return df.select(F.col(id_col).alias("story_id"), F.inline(F.concat(*parts)))
+    return df.select(F.col(id_col).alias("story_id"), F.inline_outer(F.concat(*parts))).filter("etype IS NOT NULL")
 
 
 def having_all(ids: DataFrame, key: str, found: DataFrame, wanted: list[tuple[str, str]]) -> DataFrame:

@@ -1,15 +1,14 @@
-"""Latent semantic analysis and topic clusters, with MLlib's distributed SVD and k-means."""
+"""Latent semantic analysis and topic clusters."""
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import IDF, CountVectorizer, HashingTF, NGram, Normalizer, RegexTokenizer, SQLTransformer, StopWordsRemover
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.mllib.linalg.distributed import RowMatrix
-from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
@@ -39,13 +38,41 @@ class Lsa:
         self.model, self.basis = model, basis
 
     @classmethod
-    def fit(cls, df: DataFrame, text: str = "text", dims: int = 32, **options) -> Lsa:
+    def fit(cls, df: DataFrame, text: str = "text", dims: int = 32, rounds: int = 3, seed: int = 0, **options) -> Lsa:
+        """Randomised subspace iteration: each round is one pass in which every task sends one small block.
+
+        A block has a row for each feature and a column for each direction sought, whatever the number
+        of texts; so has the state of the driver.
+        """
         model = features(text, **options).fit(df)
-        rows = MLUtils.convertVectorColumnsFromML(model.transform(df).select("features"), "features")
-        matrix = RowMatrix(rows)
-        k = max(2, min(dims, matrix.numCols() - 1, matrix.numRows() - 1))
-        v = matrix.computeSVD(k).V
-        return cls(model, v.toArray().tolist())  # vocabulary x dims, both parameters
+        size = len(model.stages[4].vocabulary)
+        if not size:
+            return cls(model, [])
+        rows = model.transform(df).select(vector_to_array("features", "float32").alias("x"))
+        n = min(size, dims + 8)
+        basis = np.linalg.qr(np.random.default_rng(seed).normal(size=(size, n)))[0]
+        names = [f"c{k}" for k in range(n)]
+
+        def through(q: np.ndarray) -> np.ndarray:
+            """The Gram matrix of the features times q."""
+
+            def work(batches):
+                total = np.zeros((size, n))
+                for b in batches:
+                    x = np.asarray(b.column(0).flatten()).reshape(-1, size).astype(np.float64)
+                    total += x.T @ (x @ q)
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(size), pa.int32()), *(pa.array(total[:, k]) for k in range(n))], names=["i", *names])
+
+            sums = rows.mapInArrow(work, "i int, " + ", ".join(f"{c} double" for c in names)).groupBy("i").agg(*[F.sum(c).alias(c) for c in names])
+            out = np.zeros((size, n))
+            for r in sums.collect():  # features x directions, both parameters
+                out[r.i] = r[1:]
+            return out
+
+        for _ in range(rounds):
+            basis = np.linalg.qr(through(basis))[0]
+        values, turn = np.linalg.eigh(basis.T @ through(basis))
+        return cls(model, (basis @ turn[:, np.argsort(-values)[: max(2, min(dims, size))]]).tolist())
 
     def transform(self, df: DataFrame) -> DataFrame:
         """``df`` with ``topic_vector``."""

@@ -25,7 +25,8 @@ def terms(c: Column) -> Column:
 def vocabulary(df: DataFrame, text: str, most: int = VOCABULARY, least_docs: int = 1) -> DataFrame:
     """(term, df, idx, idf) of the most frequent terms by documents, ties by term."""
     n = df.count()
-    each = df.select(F.explode(F.array_distinct(terms(F.col(text)))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    # the outer form, as the inner one would compute the array a second time to filter empty ones
+    each = df.select(F.explode_outer(F.array_distinct(terms(F.col(text)))).alias("term")).filter("term IS NOT NULL").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     top = each.filter(F.col("df") >= least_docs).orderBy(F.desc("df"), "term").limit(most)
     idx = F.row_number().over(Window.orderBy(F.desc("df"), "term")) - 1  # over at most ``most`` rows
     return top.withColumn("idx", idx).withColumn("idf", F.log((n + 1.0) / (F.col("df") + 1.0)) + 1.0)
@@ -33,7 +34,7 @@ def vocabulary(df: DataFrame, text: str, most: int = VOCABULARY, least_docs: int
 
 def weights(df: DataFrame, id_col: str, text: str, vocab: DataFrame) -> DataFrame:
     """(id, idx, term, w): unit-length TF-IDF weights to 6 digits; tf counts all terms of a text."""
-    tok = df.select(F.col(id_col).alias("id"), terms(F.col(text)).alias("t")).select("id", F.size("t").alias("n"), F.explode("t").alias("term"))
+    tok = df.select(F.col(id_col).alias("id"), terms(F.col(text)).alias("t")).select("id", F.size("t").alias("n"), F.explode_outer("t").alias("term")).filter("term IS NOT NULL")
     tf = tok.groupBy("id", "n", "term").agg(F.count(F.lit(1)).alias("c"))
     raw = tf.join(F.broadcast(vocab.select("term", "idx", "idf")), "term").withColumn("w", F.col("c") / F.col("n") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("id")))

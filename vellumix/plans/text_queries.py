@@ -121,7 +121,7 @@ _PENALTIES = [("wall", "no_paragraphs"), ("NOT wall AND few", "few_paragraphs"),
 
 @q("quality_penalties", f"WITH {QUALITY}, p AS (SELECT unnest([{', '.join(f'CASE WHEN {c} THEN {chr(39)}{k}{chr(39)} END' for c, k in _PENALTIES)}]) AS penalty FROM qs) SELECT penalty, count(*) AS n FROM p WHERE penalty IS NOT NULL GROUP BY penalty")
 def quality_penalties(s, d):
-    return _quality(s, d).select(F.explode("quality.penalties").alias("penalty")).groupBy("penalty").agg(F.count(F.lit(1)).alias("n"))
+    return _quality(s, d).select(F.explode_outer("quality.penalties").alias("penalty")).filter("penalty IS NOT NULL").groupBy("penalty").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _raw(s, d):
@@ -358,7 +358,7 @@ def taxonomy_tags(s, d):
 @q("tag_distribution", f"WITH {TAGS}, x AS (SELECT 'theme' AS dim, unnest(themes) AS label FROM tg UNION ALL SELECT 'role', unnest(roles) FROM tg UNION ALL SELECT 'place', unnest(places) FROM tg) SELECT dim, label, count(*) AS n FROM x GROUP BY 1, 2")
 def tag_distribution(s, d):
     one = lambda dim, c: F.transform(F.col(f"taxonomy.{c}"), lambda x: F.struct(F.lit(dim).alias("dim"), x.alias("label")))
-    return _tagged(s, d).select(F.inline(F.concat(one("theme", "themes"), one("role", "roles"), one("place", "places")))).groupBy("dim", "label").agg(F.count(F.lit(1)).alias("n"))
+    return _tagged(s, d).select(F.inline_outer(F.concat(one("theme", "themes"), one("role", "roles"), one("place", "places")))).filter("dim IS NOT NULL").groupBy("dim", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
 @q("narration_data")
