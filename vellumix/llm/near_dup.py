@@ -117,7 +117,7 @@ def prints(df: DataFrame, id_col: str = "id", text: str = "preview") -> DataFram
 def _variants(classes: DataFrame) -> DataFrame:
     pairs = ", ".join(f"named_struct('i', {i}, 'j', {j})" for i in range(SLOTS) for j in range(i + 1, SLOTS))
     keys = [F.expr(f"CASE WHEN size({f}) > 0 THEN transform(array({pairs}), v -> xxhash64({k}, v.i, v.j, {f}[v.i], {f}[v.j])) ELSE array() END") for k, f in ((3, "f3"), (5, "f5"))]
-    return classes.select("rep", "s1", "s2", F.explode(F.concat(*keys)).alias("key"))
+    return classes.select("rep", "s1", "s2", F.explode_outer(F.concat(*keys)).alias("key")).filter("key IS NOT NULL")
 
 
 def _similar(text_a: str, text_b: str, memo: dict) -> bool:
