@@ -6,10 +6,10 @@ walks the tree through a priority queue of nodes ordered by similarity to their
 best one, and goes on until it has reached ``visits`` leaves. The number of visits is widened until
 the recall that brute force measures on a bounded set of calibration queries reaches the target.
 
-Scale: the tree is bounded by ``MAX_LEAVES`` centres (4 MB) and goes to the tasks as a broadcast.
-A vector asks within the block where it lives at no cost and travels once to each other branch in
-which it visits leaves, not once per leaf. Blocks of a branch hold a bounded number of vectors: a
-branch larger than ``BLOCK`` rows is divided by a hash, and its queries go to every block. Equal vectors are one point with at most k + 1 smallest
+Scale: the tree is bounded by ``MAX_LEAVES`` centres (8 MB) and goes to the tasks as a broadcast.
+Neighbouring leaves form blocks of at most ``BLOCK`` vectors; a leaf that is larger by itself is
+divided by a hash. A vector asks within the block where it lives at no cost and travels once to each
+other block in which it visits leaves, not once per leaf. Equal vectors are one point with at most k + 1 smallest
 keys, so any number of copies costs one point; the exact answer of the others follows from it.
 
 Defined cases: vectors that are null, of another length, all zero or with a non-finite or null
@@ -31,7 +31,7 @@ from vellumix.storage import written
 
 from .common import map_arrow
 
-SAMPLE, MAX_LEAVES, LEAF, BLOCK = 20_000, 4096, 128, 20_000
+SAMPLE, MAX_LEAVES, LEAF, BLOCK = 60_000, 15_000, 128, 40_000
 DIGITS = 6
 CALIBRATION = 500
 
@@ -142,6 +142,22 @@ def _first_keys(members: DataFrame, k: int) -> DataFrame:
     return few.groupBy("pid").agg(F.slice(F.array_sort(F.collect_list("key")), 1, k + 1).alias("first"))
 
 
+def _blocks(sizes: np.ndarray, branch_of: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """First block and number of blocks of each leaf: neighbouring leaves of a branch share a block up to ``most`` rows."""
+    first, parts = np.zeros(len(sizes), np.int64), np.ones(len(sizes), np.int64)
+    at, held, branch = -1, 0, -1
+    for leaf, size in enumerate(sizes.tolist()):
+        if size > most:
+            first[leaf], parts[leaf] = at + 1, -(-size // most)
+            at, held, branch = at + int(parts[leaf]), most, branch_of[leaf]
+            continue
+        if branch_of[leaf] != branch or held + size > most:
+            at, held, branch = at + 1, 0, branch_of[leaf]
+        first[leaf] = at
+        held += size
+    return first, parts
+
+
 def _calibrated(vectors: DataFrame, tree, x: np.ndarray, k: int, dim: int, least: float | None, target: float) -> int:
     """Smallest number of visits that reaches the target recall of brute force against all rows.
 
@@ -189,8 +205,9 @@ def neighbours(df: DataFrame, keys: list[str], vector: str = "embedding", dim: i
     n = vectors.count()
     if not n:
         return members.select("key.*", *[F.col(f"key.{c}").alias(f"nb_{c}") for c in keys], F.lit(1).alias("rank"), F.lit(0.0).alias("cosine")).limit(0)
-    rate = min(1.0, 1.1 * SAMPLE / n)
-    sample = vectors.filter(F.pmod(F.xxhash64("pid"), F.lit(1_000_000)) <= int(rate * 1_000_000)).select("vec").limit(SAMPLE).collect()  # bounded by SAMPLE, for the tree only
+    take = min(SAMPLE, max(5000, n // 5))
+    rate = min(1.0, 1.1 * take / n)
+    sample = vectors.filter(F.pmod(F.xxhash64("pid"), F.lit(1_000_000)) <= int(rate * 1_000_000)).select("vec").limit(take).collect()  # at most SAMPLE, for the tree only
     x = _matrix([r.vec for r in sample] or [vectors.first().vec], dim)
     shared = spark.sparkContext.broadcast(Tree(x, n))
     visits = _calibrated(vectors, shared, x, k, dim, least, target)
@@ -199,10 +216,10 @@ def neighbours(df: DataFrame, keys: list[str], vector: str = "embedding", dim: i
         leaf, size = np.unique(shared.value.leaf(_matrix(cols["vec"].to_pylist(), dim)), return_counts=True)
         return {"leaf": leaf.astype(np.int32), "size": size.astype(np.int64)}
 
-    sizes = np.zeros(len(shared.value.branches), np.int64)
+    sizes = np.zeros(len(shared.value.leaves), np.int64)
     for r in map_arrow(vectors, ["vec"], "leaf int, size bigint", count, 20_000).groupBy("leaf").agg(F.sum("size").alias("size")).collect():  # at most MAX_LEAVES
-        sizes[shared.value.branch_of[r.leaf]] += r["size"]
-    blocks = np.maximum(1, -(-sizes // BLOCK))
+        sizes[r.leaf] = r["size"]
+    block_of, parts = _blocks(sizes, shared.value.branch_of, int(np.clip(n // 32, 2000, BLOCK)))
 
     def spread(cols: dict) -> dict:
         """A row where each vector lives, with the leaves it asks there, and one for every other block that it asks."""
@@ -210,23 +227,24 @@ def neighbours(df: DataFrame, keys: list[str], vector: str = "embedding", dim: i
         pid, vec, asks = np.asarray(cols["pid"]), cols["vec"].to_pylist(), cols["asks"].to_pylist()
         x = _matrix(vec, dim)
         home, seen = t.leaf(x), t.visit(x, visits)
-        salt = (pid.view(np.uint64) % blocks[t.branch_of[home]].astype(np.uint64)).astype(np.int64)
+        salt = (pid.view(np.uint64) % parts[home].astype(np.uint64)).astype(np.int64)
         out: list[tuple] = []
         for i, row in enumerate(seen):
-            hb, hs = t.branch_of[home[i]], salt[i]
-            own = t.branch_of[row]
-            out.append((hb, hs, i, home[i], row[own == hb].tolist() if asks[i] else []))
+            here = block_of[home[i]] + salt[i]
+            there: dict[int, list[int]] = {int(here): []}
             if asks[i]:
-                for b in np.unique(own):
-                    out += [(b, s, i, -1, row[own == b].tolist()) for s in range(blocks[b]) if (b, s) != (hb, hs)]
-        branch, block, who, leaf, leaves = zip(*out)
-        return {"branch": np.array(branch, np.int32), "block": np.array(block, np.int32), "pid": pid[list(who)], "vec": [vec[i] for i in who], "leaf": np.array(leaf, np.int32), "leaves": list(leaves)}
+                for leaf, b, m in zip(row.tolist(), block_of[row].tolist(), parts[row].tolist()):
+                    for k in range(m):
+                        there.setdefault(b + k, []).append(leaf)
+            out += [(b, i, home[i] if b == here else -1, leaves) for b, leaves in there.items()]
+        block, who, leaf, leaves = zip(*out)
+        return {"block": np.array(block, np.int32), "pid": pid[list(who)], "vec": [vec[i] for i in who], "leaf": np.array(leaf, np.int32), "leaves": list(leaves)}
 
     if queries:
         asking = vectors.join(members.filter(queries).select("pid").distinct().withColumn("asks", F.lit(True)), "pid", "left").withColumn("asks", F.coalesce("asks", F.lit(False)))
     else:
         asking = vectors.withColumn("asks", F.lit(True))
-    placed = map_arrow(asking, ["pid", "vec", "asks"], "branch int, block int, pid bigint, vec binary, leaf int, leaves array<int>", spread)
+    placed = map_arrow(asking, ["pid", "vec", "asks"], "block int, pid bigint, vec binary, leaf int, leaves array<int>", spread)
 
     def answer(table: pa.Table) -> pa.Table:
         pid, leaf = np.asarray(table["pid"]), np.asarray(table["leaf"])
@@ -265,7 +283,7 @@ def neighbours(df: DataFrame, keys: list[str], vector: str = "embedding", dim: i
         keep = (np.arange(len(a)) - start < k) | ((cosine == kth) & (a[np.minimum(start + k - 1, len(a) - 1)] == a)) if len(a) else np.zeros(0, bool)
         return pa.table({"pid": a[keep], "nb": b[keep], "cosine": cosine[keep]})
 
-    found = placed.groupBy("branch", "block").applyInArrow(answer, "pid bigint, nb bigint, cosine double")
+    found = placed.groupBy("block").applyInArrow(answer, "pid bigint, nb bigint, cosine double")
     if least is not None:
         found = found.filter(F.col("cosine") >= least)
     # every vector stands for its k + 1 smallest keys; equal keys of the query's own vector are neighbours too
