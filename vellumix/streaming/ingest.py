@@ -44,7 +44,12 @@ class Ingest:
     def _known(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
         if not _fs(spark, self.catalog).exists(_path(spark, self.catalog)):
             return None
-        return spark.read.parquet(self.catalog).filter(F.col("batch_id") != batch_id).select("id")
+        return self._read(spark, self.catalog, "id bigint").filter(F.col("batch_id") != batch_id).select("id")
+
+    @staticmethod
+    def _read(spark: SparkSession, path: str, columns: str) -> DataFrame:
+        """The named columns; a schema is given, as a table without rows has no file to take one from."""
+        return spark.read.schema(columns + ", batch_id bigint").parquet(path)
 
     def batch(self, rows: DataFrame, batch_id: int) -> None:
         """Profile one micro-batch and write its rows, dead letters and counts."""
@@ -75,9 +80,9 @@ class Ingest:
         taken = spark.read.parquet(self.counts).agg(F.sum("rows_in").alias("rows_in"), F.sum("ids_in").alias("ids_in")).first()
         if not taken.rows_in:
             raise RuntimeError("the ingest took no rows")
-        written_, dead = spark.read.parquet(self.catalog).count(), spark.read.parquet(self.dead).count()
+        written_, dead = self._read(spark, self.catalog, "id bigint").count(), self._read(spark, self.dead, "id string").count()
         return spark.createDataFrame([(taken.rows_in, taken.ids_in, written_, taken.ids_in - written_ - dead, dead)], "rows_in bigint, ids_in bigint, rows_written bigint, ids_skipped bigint, dead_letters bigint")
 
     def causes(self, spark: SparkSession, most: int = 100) -> DataFrame:
         """(signature, n) of the dead letters."""
-        return capped_signatures(spark.read.parquet(self.dead).withColumn("signature", error_signature(F.col("error"))), "signature", most)
+        return capped_signatures(self._read(spark, self.dead, "id string, error string").withColumn("signature", error_signature(F.col("error"))), "signature", most)
