@@ -71,36 +71,40 @@ class Tree:
         self.leaves = np.concatenate(parts)
         self.first = np.array(self.first)
         self.branch_of = np.repeat(np.arange(k), np.diff(self.first))
+        to_own = np.einsum("ij,ij->i", self.leaves, self.branches[self.branch_of])
+        self.spread = np.array([np.arccos(np.clip(to_own[a:b].min(), -1, 1)) for a, b in zip(self.first[:-1], self.first[1:])], np.float32)
 
     def leaf(self, q: np.ndarray) -> np.ndarray:
-        """The leaf of each row: the nearest centre in its nearest branch."""
+        """The leaf of each row: the first that the traversal reaches, which is the nearest of all."""
         return self.visit(q, 1)[:, 0]
 
     def visit(self, q: np.ndarray, visits: int) -> np.ndarray:
         """Best-bin-first: ids of the first ``visits`` leaves that each query reaches, best first.
 
-        The queue of a query is a row of priorities; the entry taken is the largest. Taking a branch
-        puts its leaves into the queue, taking a leaf visits it.
+        The queue of a query is a row of priorities; the entry taken is the largest. The priority of
+        a branch is the similarity that a leaf of it can have at most, by its angle and its spread;
+        taking it puts its leaves into the queue. Taking a leaf visits it.
         """
         visits, k = min(visits, len(self.leaves)), len(self.branches)
         out = np.empty((len(q), visits), np.int32)
         for a in range(0, len(q), 1024):
             part = q[a : a + 1024]
             to_leaf = part @ self.leaves.T
-            queue = np.concatenate([part @ self.branches.T, np.full_like(to_leaf, -np.inf)], axis=1)
+            angle = np.arccos(np.clip(part @ self.branches.T, -1, 1)) - self.spread
+            queue = np.concatenate([np.cos(np.maximum(angle, 0)) + 1e-5, np.full_like(to_leaf, -np.inf)], axis=1).astype(np.float32)
             got = np.zeros(len(part), np.int64)
             live = np.arange(len(part))
             while len(live):
                 best = np.argmax(queue[live], axis=1)
-                queue[live, best] = -np.inf
                 is_leaf = best >= k
                 done = live[is_leaf]
+                queue[live, best] = -np.inf
                 out[a + done, got[done]] = best[is_leaf] - k
                 got[done] += 1
-                for b in np.unique(best[~is_leaf]):
-                    rows = live[~is_leaf][best[~is_leaf] == b]
-                    span = slice(k + self.first[b], k + self.first[b + 1])
-                    queue[rows, span] = to_leaf[rows, self.first[b] : self.first[b + 1]]
+                opened, taken = live[~is_leaf], best[~is_leaf]
+                for b in np.unique(taken):
+                    rows = opened[taken == b]
+                    queue[rows, k + self.first[b] : k + self.first[b + 1]] = to_leaf[rows, self.first[b] : self.first[b + 1]]
                 live = live[got[live] < visits]
         return out
 
@@ -219,7 +223,7 @@ def neighbours(df: DataFrame, keys: list[str], vector: str = "embedding", dim: i
     sizes = np.zeros(len(shared.value.leaves), np.int64)
     for r in map_arrow(vectors, ["vec"], "leaf int, size bigint", count, 20_000).groupBy("leaf").agg(F.sum("size").alias("size")).collect():  # at most MAX_LEAVES
         sizes[r.leaf] = r["size"]
-    block_of, parts = _blocks(sizes, shared.value.branch_of, int(np.clip(n // 32, 2000, BLOCK)))
+    block_of, parts = _blocks(sizes, shared.value.branch_of, int(np.clip(n // 16, 2000, BLOCK)))
 
     def spread(cols: dict) -> dict:
         """A row where each vector lives, with the leaves it asks there, and one for every other block that it asks."""
