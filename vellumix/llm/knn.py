@@ -33,7 +33,8 @@ from .common import map_arrow
 
 SAMPLE, MAX_LEAVES, LEAF, BLOCK = 60_000, 15_000, 128, 40_000
 DIGITS = 6
-CALIBRATION = 500
+CALIBRATION = 1000
+WIDEN = 1.5  # the queries that calibrate are a sample, so their need is widened
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -193,7 +194,7 @@ def _calibrated(vectors: DataFrame, tree, x: np.ndarray, k: int, dim: int, least
     place = np.empty_like(order)
     np.put_along_axis(place, order, np.arange(order.shape[1], dtype=np.int32)[None, :], axis=1)
     needed = np.sort([place[r.q, r.leaf] for r in rows]) + 1
-    return int(needed[min(len(needed) - 1, int(np.ceil(target * len(needed))))])
+    return int(np.ceil(WIDEN * needed[min(len(needed) - 1, int(np.ceil(target * len(needed))))])) + 1
 
 
 def neighbours(df: DataFrame, keys: list[str], vector: str = "embedding", dim: int = 128, k: int = 5, least: float | None = None, target: float = 0.95, queries: str | None = None) -> DataFrame:
@@ -209,7 +210,7 @@ def neighbours(df: DataFrame, keys: list[str], vector: str = "embedding", dim: i
     n = vectors.count()
     if not n:
         return members.select("key.*", *[F.col(f"key.{c}").alias(f"nb_{c}") for c in keys], F.lit(1).alias("rank"), F.lit(0.0).alias("cosine")).limit(0)
-    take = min(SAMPLE, max(5000, n // 5))
+    take = min(SAMPLE, max(12_000, n // 20))
     rate = min(1.0, 1.1 * take / n)
     sample = vectors.filter(F.pmod(F.xxhash64("pid"), F.lit(1_000_000)) <= int(rate * 1_000_000)).select("vec").limit(take).collect()  # at most SAMPLE, for the tree only
     x = _matrix([r.vec for r in sample] or [vectors.first().vec], dim)
