@@ -6,8 +6,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql.pandas.types import to_arrow_schema
 
 U64 = np.uint64
+#: Bytes of an Arrow batch that a task hands to Python.
+BATCH_BYTES = 32 << 20
 #: Unicode White_Space, as the body of a character class.
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
@@ -38,17 +42,35 @@ def sub_batches(texts: list[str], budget: int = 1_000_000) -> Iterator[tuple[int
         yield start, len(texts)
 
 
-def map_arrow(df, names: list[str], schema: str, work: Callable[[dict], dict], rows: int = 2000):
-    """``df.mapInArrow`` of ``work``: dict of Python lists in, dict of equally long columns out."""
-    spark_schema = df.sparkSession.createDataFrame([], schema).schema
-    from pyspark.sql.pandas.types import to_arrow_schema
-
+def _slices(batch: pa.RecordBatch, rows: int, size: int) -> Iterator[tuple[int, int]]:
+    """Ranges of at most ``rows`` rows and about ``size`` bytes of text; a longer row is a range by itself."""
+    total = np.zeros(batch.num_rows, np.int64)
+    for col in batch.columns:
+        if pa.types.is_string(col.type) or pa.types.is_binary(col.type) or pa.types.is_large_string(col.type):
+            total += np.asarray(pc.fill_null(pc.binary_length(col), 0)).astype(np.int64)
+    upto = np.concatenate([[0], np.cumsum(total)])
+    a = 0
+    while a < batch.num_rows:
+        b = max(a + 1, min(a + rows, int(np.searchsorted(upto, upto[a] + size, side="right")) - 1))
+        yield a, min(b, batch.num_rows)
+        a = b
+
+
+def map_arrow(df, names: list[str], schema: str, work: Callable[[dict], dict], rows: int = 2000, size: int = 8 << 20):
+    """``df.mapInArrow`` of ``work``: dict of Arrow columns in, dict of equally long columns out.
+
+    ``work`` sees slices of bounded rows and bytes, so that long texts do not add up in memory.
+    """
+    spark = df.sparkSession
+    if not 0 < int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("bB")) <= BATCH_BYTES:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark_schema = spark.createDataFrame([], schema).schema
     arrow = to_arrow_schema(spark_schema)
 
     def run(batches):
         for whole in batches:
-            for k in range(0, whole.num_rows, rows):
-                batch = whole.slice(k, rows)
+            for a, b in _slices(whole, rows, size):
+                batch = whole.slice(a, b - a)
                 out = work({n: batch.column(i) for i, n in enumerate(names)})
                 yield pa.RecordBatch.from_arrays([v if isinstance(v, pa.Array) else pa.array(v, type=f.type) for v, f in zip((out[f.name] for f in arrow), arrow)], schema=arrow)
 

@@ -214,9 +214,14 @@ def lookalike_pairs(df: DataFrame, id_col: str = "doc_id", text: str = "text") -
     """(id_a, id_b), id_a < id_b: documents that look alike though their strings differ."""
     keyed = written(unified(df, id_col, text).filter(F.col("look").isNotNull()).select("id", "raw_hash", "look").distinct(), "looks")
     several = keyed.groupBy("look").agg(F.min("raw_hash").alias("a"), F.max("raw_hash").alias("b")).filter("a <> b").select("look")
-    case = keyed.join(several, "look", "left_semi")
-    left, right = case.select("look", F.col("id").alias("id_a"), F.col("raw_hash").alias("a")), case.select("look", F.col("id").alias("id_b"), F.col("raw_hash").alias("b"))
-    return left.join(right, "look").filter("id_a < id_b AND a <> b").select("id_a", "id_b").distinct()
+    case = written(keyed.join(several, "look", "left_semi"), "cases")
+    # different strings are paired first, their documents then: copies of one string never meet one another
+    kinds = case.select("look", "raw_hash").distinct()
+    left, right = kinds.withColumnRenamed("raw_hash", "a"), kinds.withColumnRenamed("raw_hash", "b")
+    pairs = left.join(right, "look").filter("a < b")
+    x, y = case.select("look", F.col("raw_hash").alias("a"), F.col("id").alias("x")), case.select("look", F.col("raw_hash").alias("b"), F.col("id").alias("y"))
+    found = pairs.join(x, ["look", "a"]).join(y, ["look", "b"]).filter("x <> y")
+    return found.select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b")).distinct()
 
 
 def look_classes(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:

@@ -81,8 +81,8 @@ def _chunked(df: DataFrame, id_col: str, source: str, text: str) -> DataFrame:
                         numbers.append(k)
                         n += 1
                 per_doc.append(per_doc[-1] + n)
-            if kept:
-                offsets, h = chunk_lines(kept)
+            for i, j in sub_batches(kept):
+                offsets, h = chunk_lines(kept[i:j])
                 spans.extend((offsets[1:] + spans[-1]).tolist())
                 hashes.append(h)
         inner = list_array(np.array(spans), np.concatenate(hashes) if hashes else np.zeros(0, np.int64), pa.int64())

@@ -111,14 +111,11 @@ def _line_reason(line: str, counts: np.ndarray) -> str | None:
     return None
 
 
-def _run_reason(words: list[str], text: str) -> str | None:
+def _run_reason(words: list[str], japanese: bool) -> str | None:
     """The rule that a run of lines fails, if any."""
     if len(words) >= WINDOW // 2 and len(set(words)) < MIN_DISTINCT * len(words):
         return "repetition"
-    kana = len(KANA.findall(text))
-    if kana > 0.2 * len(text):
-        return None
-    if len(words) >= MIN_WORDS and sum(w in COMMON for w in words) < MIN_COMMON * len(words):
+    if not japanese and len(words) >= MIN_WORDS and sum(w in COMMON for w in words) < MIN_COMMON * len(words):
         return "no_common_words"
     return None
 
@@ -151,11 +148,11 @@ def judge(text: str) -> dict:
     for ls, ws in pending:
         # a long run is judged in windows, so that a list inside prose counts by itself
         parts = max(1, len(ws) // WINDOW)
-        joined = " ".join(ls)
+        size = sum(len(w) for line in ls for w in line.split())
+        japanese = sum(len(KANA.findall(line)) for line in ls) > 0.2 * size
         for k in range(parts):
             a, b = len(ws) * k // parts, len(ws) * (k + 1) // parts
-            if reason := _run_reason(ws[a:b], joined):
-                size = len("".join(joined.split()))
+            if reason := _run_reason(ws[a:b], japanese):
                 failed[reason] = failed.get(reason, 0) + int(round(size / parts))
     sentences = max(1, sum(1 for x in SENTENCE.split(text) if x.strip())) if words else 0
     quoted = sum(len(WORD.findall(q)) for q in QUOTED.findall(text))
