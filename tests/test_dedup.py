@@ -120,3 +120,33 @@ def test_stored_signature(spark):
 def test_agreement(spark, a, b, want):
     row = spark.createDataFrame([(a, b)], "a array<bigint>, b array<bigint>")
     assert row.select(dedup.agreement(F.col("a"), F.col("b"))).first()[0] == want
+
+
+def test_banded_choice_matches_a_loop(spark):
+    rng = random.Random(5)
+    base = [[f"w{rng.randrange(900)}" for _ in range(120)] for _ in range(5)]
+    docs = []
+    for i in range(40):
+        w = list(rng.choice(base))
+        for _ in range(rng.randrange(5)):
+            w[rng.randrange(len(w))] = f"n{rng.randrange(99)}"
+        docs.append((i, " ".join(w)))
+    docs.append((40, ""))
+    got = {r.id: (r.is_canonical, r.dup_of) for r in dedup.deduplicated_banded(spark.createDataFrame(docs, "id bigint, t string"), "id", "t").collect()}
+    sigs, want = {i: dedup.wide_signature(t, {}) for i, t in docs if t}, {40: (False, None)}
+    canon, first = [], {}
+    for i in sigs:
+        key = tuple(sigs[i])
+        if key in first:
+            want[i] = (False, want[first[key]][1] if want[first[key]][1] is not None else first[key])
+            continue
+        first[key] = i
+        best = None
+        for c in canon:
+            shared = [b for b in range(32) if (sigs[i][4 * b : 4 * b + 4] == sigs[c][4 * b : 4 * b + 4]).all()]
+            if shared and (sigs[i] == sigs[c]).mean() >= 0.8 and (best is None or (shared[0], c) < best):
+                best = (shared[0], c)
+        want[i] = (best is None, None if best is None else best[1])
+        if best is None:
+            canon.append(i)
+    assert got == want

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from vellumix.operators import captions, facets, screening, semantic, tfidf, vectors
+from vellumix.operators import captions, facets, screening, search, semantic, tfidf, vectors
 
 
 def test_verdict_order_and_gate(spark):
@@ -131,3 +131,16 @@ def test_hit_details_keep_rank(spark):
     hits = spark.createDataFrame([(1, 7), (2, 3), (3, 99)], "rank int, id bigint")
     cat = spark.createDataFrame([(3, "c"), (7, "g")], "id bigint, title string")
     assert [r.title for r in facets.hit_details(hits, cat).collect()] == ["g", "c"]
+
+
+def test_search_engine(spark):
+    encode = lambda df, text: semantic.hashed_encoding(df, text, 64)
+    rows = spark.createDataFrame([(1, 0, "the ferry and the harbour"), (1, 1, "an orchard above the village"), (2, 0, "the clock struck at night")], "id bigint, chunk_index smallint, text string")
+    engine = search.SearchEngine(encode(rows, "text"), encode, 64)
+    assert tuple(engine.search("an orchard above the village", 1).first()[:2]) == (1, 1)
+    with pytest.raises(ValueError):
+        engine.search("x", 0)
+    with pytest.raises(ValueError, match="encoder gives"):
+        search.SearchEngine(encode(rows, "text"), lambda df, text: semantic.hashed_encoding(df, text, 32), 64).search("x")
+    with pytest.raises(ValueError, match="empty"):
+        search.SearchEngine(encode(rows.limit(0), "text"), encode, 64)

@@ -235,3 +235,25 @@ def best_of_cluster(df: DataFrame, cluster: str, score: str, id_col: str) -> Dat
 def unseen(new: DataFrame, known: DataFrame, key: str) -> DataFrame:
     """Rows of ``new`` whose key is not yet known; keys are compared once each."""
     return new.join(known.select(key).distinct(), key, "left_anti")
+
+
+def deduplicated_banded(df: DataFrame, id_col: str, text: str, least: float = 0.8) -> DataFrame:
+    """(id, is_canonical, dup_of, similarity): the greedy choice over banded 128-slot sketches.
+
+    Candidates share a band; a row is a copy of the kept candidate with the smallest (band, id) whose
+    estimate reaches ``least``. Exact copies and rows with equal sketches follow the first of them.
+    Blank texts are not canonical and have no ``dup_of``.
+    """
+    rows = written(df.select(F.col(id_col).alias("id"), normalized_hash(F.col(text), 200_000).alias("hash"), minhash128(F.col(text)).alias("sig")), "sketched")
+    solid = rows.filter("hash <> ''")
+    reps = solid.groupBy("sig").agg(F.min("id").alias("rep"))
+    own = written(solid.join(reps, "sig").select("id", "rep"), "reps")
+    pairs = written(band_candidates(solid.select("id", "sig"), "id", "sig").filter(F.col("estimate") >= least), "pairs")
+    kept = written(first_kept(reps.select(F.col("rep").alias("id")), pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))), "kept")
+    of = pairs.join(kept.filter("kept").select(F.col("id").alias("id_a")), "id_a", "left_semi").groupBy("id_b").agg(F.min_by(F.struct(F.col("id_a").alias("of"), "estimate"), F.struct("band", "id_a")).alias("m"))
+    state = kept.join(of, kept.id == of.id_b, "left").select(F.col("id").alias("rep"), F.when(F.col("kept"), F.col("id")).otherwise(F.col("m.of")).alias("canon"), F.when(F.col("kept"), 1.0).otherwise(F.col("m.estimate")).alias("sim"))
+    decided = own.join(state, "rep")
+    self_ = F.col("canon") == F.col("id")
+    out = decided.select("id", self_.alias("is_canonical"), F.when(~self_, F.col("canon")).alias("dup_of"), F.when(self_, 0.0).otherwise(F.col("sim")).alias("similarity"))
+    blank = rows.filter("hash = ''").select("id", F.lit(False).alias("is_canonical"), F.lit(None).cast(dict(out.dtypes)["dup_of"]).alias("dup_of"), F.lit(None).cast("double").alias("similarity"))
+    return out.unionByName(blank)

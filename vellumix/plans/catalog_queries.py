@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from vellumix.operators import analytics, facets, screening, semantic, tfidf, vectors
+from vellumix.operators import analytics, facets, screening, search, semantic, tfidf, vectors
 from vellumix.plans import catalog
 from vellumix.sources import readers
 from vellumix.storage import table, written
@@ -277,6 +277,14 @@ def hashed_encoding(s, d):
     return semantic.hashed_encoding(table(s, d, "documents").select("doc_id", "text"), "text").select("doc_id", F.size("embedding").alias("dim"))
 
 
+@q("text_to_chunk_search")
+def text_to_chunk_search(s, d):
+    """A text against the chunk texts by hashed encodings; the hash has no SQL; tested by finding a chunk by itself."""
+    chunks = table(s, d, "chunk_texts").select("id", "chunk_index", "text").dropDuplicates(["id", "chunk_index"])
+    encode = lambda df, text: semantic.hashed_encoding(df, text, 256)
+    return search.SearchEngine(written(encode(chunks, "text"), "encoded"), encode, 256).search(QUERY, 20)
+
+
 @q("compressed_round_trip", "SELECT id, md5(text) AS text_md5 FROM (SELECT DISTINCT id, text FROM raw_stories WHERE text IS NOT NULL)")
 def compressed_round_trip(s, d):
     """Texts compressed, encoded, and read back."""

@@ -410,6 +410,12 @@ def near_dup_greedy(s, d):
     return dedup.deduplicated(_docs(s, d), "doc_id", "text")
 
 
+@q("near_dup_banded")
+def near_dup_banded(s, d):
+    """The greedy choice over banded sketches; no SQL for its hashes and its order; tested against a loop."""
+    return dedup.deduplicated_banded(_docs(s, d), "doc_id", "text")
+
+
 @q("minhash128_signature")
 def minhash128_signature(s, d):
     """Hashed with blake2b and unsigned wrap-around arithmetic, neither of which SQL has; tested against a loop."""
