@@ -47,7 +47,7 @@ def with_metrics(df: DataFrame, text: str, scan_chars: int | None = None, lexico
     step = df.withColumns({"_t": t, "_words": words(t)})
     scanned = F.substring("_t", 1, scan_chars) if scan_chars else F.col("_t")
     step = step.withColumns({
-        "_scan": words(scanned) if scan_chars else F.col("_words"),
+        "_scan": F.when(F.length("_t") <= scan_chars, F.col("_words")).otherwise(words(scanned)) if scan_chars else F.col("_words"),
         "_quoted": quoted_words(scanned),
         "_sentences": F.greatest(F.size(nonblank_parts(F.col("_t"), SENTENCE_END)), F.lit(1)),
         "_blank": ~has_ink(F.col("_t")),

@@ -17,7 +17,7 @@ class SearchEngine:
     """
 
     def __init__(self, index: DataFrame, encode: Callable[[DataFrame, str], DataFrame], dim: int, most: int | None = None):
-        rows = index.select("id", "chunk_index", "embedding").filter(problem_of(F.col("embedding"), dim).isNull() | (problem_of(F.col("embedding"), dim) == "zero"))
+        rows = index.select("id", "chunk_index", "embedding").filter(F.coalesce(problem_of(F.col("embedding"), dim), F.lit("zero")) == "zero")
         rows = rows.orderBy("id", "chunk_index").limit(most) if most else rows
         if rows.isEmpty():
             raise ValueError("the index is empty")

@@ -8,6 +8,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vellumix.functions.text import let
+
 #: Bytes of queries that may go to every task; more are answered in several passes.
 QUERY_BYTES = 32 << 20
 
@@ -35,9 +37,11 @@ def validated(df: DataFrame, vector: str, dim: int, columns: tuple[str, ...] = (
 
 def normalized(vector: Column) -> Column:
     """Unit length in double precision; the zero vector stays zero."""
-    v = F.transform(vector, lambda x: x.cast("double"))
-    norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x))
-    return F.when(norm == 0, v).otherwise(F.transform(v, lambda x: x / norm))
+    def divided(v: Column) -> Column:
+        norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x))
+        return let(norm, lambda n: F.when(n == 0, v).otherwise(F.transform(v, lambda x: x / n)))
+
+    return let(F.transform(vector, lambda x: x.cast("double")), divided)
 
 
 def cosine(a: Column, b: Column) -> Column:

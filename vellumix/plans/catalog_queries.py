@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from vellumix.operators import analytics, facets, screening, search, semantic, tfidf, vectors
 from vellumix.plans import catalog
 from vellumix.sources import readers
-from vellumix.storage import table, written
+from vellumix.storage import table, texts, written
 from vellumix.streaming.ingest import Ingest
 
 from .text_queries import QUERIES, SQL, q, quoted_list
@@ -157,8 +157,8 @@ def label_totals(s, d):
 
 @q("story_texts", "SELECT s.id, coalesce(length(r.text), length(s.preview), 0) AS n_chars FROM stories s LEFT JOIN (SELECT try_cast(id AS BIGINT) AS id, max(text) AS text FROM raw_stories GROUP BY 1) r ON r.id = s.id")
 def story_texts(s, d):
-    texts = table(s, d, "raw_stories").select(F.col("id").try_cast("bigint").alias("id"), "text").groupBy("id").agg(F.max("text").alias("full_text"))
-    return facets.with_full_text(_cat(s, d).select("id", "preview"), texts).select("id", F.length("text").alias("n_chars"))
+    whole = table(s, d, "raw_stories").select(F.col("id").try_cast("bigint").alias("id"), "text").groupBy("id").agg(F.max("text").alias("full_text"))
+    return facets.with_full_text(_cat(s, d).select("id", "preview"), whole).select("id", F.length("text").alias("n_chars"))
 
 
 # ---------------------------------------------------------------- TF-IDF, vectors, semantics
@@ -170,12 +170,12 @@ WEIGHTS = f"{VOCAB}, tf AS (SELECT doc_id, len(t) AS n, unnest(t) AS term FROM t
 
 @q("tfidf_vocab", f"WITH {VOCAB} SELECT term, df, idx::INT AS idx, round(idf, 6) AS idf FROM v")
 def tfidf_vocab(s, d):
-    return tfidf.vocabulary(table(s, d, "documents"), "text").select("term", "df", "idx", F.round("idf", 6).alias("idf"))
+    return tfidf.vocabulary(texts(s, d, "documents"), "text").select("term", "df", "idx", F.round("idf", 6).alias("idf"))
 
 
 @q("tfidf_weights", f"WITH {WEIGHTS} SELECT doc_id AS id, count(*) AS n_terms, round(sum(w), 3) AS total FROM u GROUP BY 1")
 def tfidf_weights(s, d):
-    docs = table(s, d, "documents")
+    docs = texts(s, d, "documents")
     w = tfidf.weights(docs, "doc_id", "text", written(tfidf.vocabulary(docs, "text"), "vocab"))
     return w.groupBy("id").agg(F.count(F.lit(1)).alias("n_terms"), F.round(F.sum("w"), 3).alias("total"))
 
@@ -188,12 +188,12 @@ _QVEC = "q AS (SELECT idx, round(w / sqrt(sum(w * w) OVER ()), 6) AS w FROM (SEL
 
 @q("tfidf_search", f"WITH {WEIGHTS}, {_QVEC} SELECT doc_id AS id, round(least(1.0, sum(u.w * q.w)), 4) AS similarity FROM u JOIN q USING (idx) GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20")
 def tfidf_search(s, d):
-    return tfidf.Index(table(s, d, "documents"), "doc_id", "text").search(QUERY, 20)
+    return tfidf.Index(texts(s, d, "documents"), "doc_id", "text").search(QUERY, 20)
 
 
 @q("tfidf_similar", f"WITH {WEIGHTS}, o AS (SELECT min(doc_id) AS doc_id FROM u), q AS (SELECT idx, w FROM u JOIN o USING (doc_id)) SELECT u.doc_id AS id, round(least(1.0, sum(u.w * q.w)), 4) AS similarity FROM u JOIN q USING (idx) WHERE u.doc_id <> (SELECT doc_id FROM o) GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20")
 def tfidf_similar(s, d):
-    index = tfidf.Index(table(s, d, "documents"), "doc_id", "text")
+    index = tfidf.Index(texts(s, d, "documents"), "doc_id", "text")
     first = index.weights.agg(F.min("id")).first()[0]
     return index.similar(first if first is not None else -1, 20)
 
@@ -254,7 +254,7 @@ def keyset_page(s, d):
 
 
 def _lsa(s, d):
-    docs = table(s, d, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    docs = texts(s, d, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     return docs, semantic.Lsa.fit(docs, dims=32, vocabulary=1500)
 
 
@@ -274,7 +274,7 @@ def topic_clusters(s, d):
 
 @q("hashed_encoding", "SELECT doc_id, 256 AS dim FROM documents")
 def hashed_encoding(s, d):
-    return semantic.hashed_encoding(table(s, d, "documents").select("doc_id", "text"), "text").select("doc_id", F.size("embedding").alias("dim"))
+    return semantic.hashed_encoding(texts(s, d, "documents").select("doc_id", "text"), "text").select("doc_id", F.size("embedding").alias("dim"))
 
 
 @q("text_to_chunk_search")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from vellumix.functions import metrics, scoring, text
 from vellumix.operators import analytics, captions, dedup, facets, screening
 from vellumix.plans import catalog
-from vellumix.storage import table, written
+from vellumix.storage import table, texts, written
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -79,7 +79,7 @@ qs AS (SELECT *, CASE WHEN total >= 78 THEN 'Tier 1' WHEN total >= 62 THEN 'Tier
 
 
 def _docs(s, d):
-    return table(s, d, "documents")
+    return texts(s, d, "documents")
 
 
 def _metrics(s, d, text_col="text"):
@@ -126,7 +126,7 @@ def quality_penalties(s, d):
 
 def _raw(s, d):
     """Distinct deliveries of raw stories; the narrow columns that queries need."""
-    return table(s, d, "raw_stories").select("id", "title", "author", "text", "tags", "source_url", "source_archive", "created_date", "ingested_at")
+    return texts(s, d, "raw_stories").select("id", "title", "author", "text", "tags", "source_url", "source_archive", "created_date", "ingested_at")
 
 
 _HEADERS = [h.replace("'", "''") for h in text.HEADER_LINES]
@@ -375,7 +375,7 @@ def _mention_part(etype: str, rules: dict[str, str]) -> str:
 
 @q("entity_extraction", " UNION ALL ".join(_mention_part(e, r) for e, r in facets.TABLES.items()))
 def entity_extraction(s, d):
-    return facets.mentions(table(s, d, "stories"), "id", "preview")
+    return facets.mentions(texts(s, d, "stories"), "id", "preview")
 
 
 # ---------------------------------------------------------------- duplicates

@@ -13,6 +13,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The table ``name``, spread over the cores if its files are fewer.
+
+    Work on texts is bound by CPU. A small table in one file would be read, and so worked on, by one
+    task; larger tables have more splits than cores and are left as they are.
+    """
+    df = table(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder that all executors share: ``spark.checkpoint.dir`` of the session.
 
