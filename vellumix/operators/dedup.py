@@ -150,8 +150,17 @@ def similar_pairs(df: DataFrame, id_col: str, text: str, least: float = 0.8, k:
     are not paired). Prefix filter: ordered by rarity, two sets with that similarity share one of
     their first n - ceil(least * n) + 1 shingles, so only those are joined.
     """
-    sets = df.select(F.col(id_col).alias("id"), F.array_sort(F.transform(shingles(F.col(text), k), lambda s: F.xxhash64(s))).alias("set")).filter(F.size("set") > 0)
-    sets = written(sets.groupBy("set").agg(F.min("id").alias("id")), "sets")
+    sets = _sets(df.select(F.col(id_col).alias("id"), F.col(text).alias("text")), k).filter(F.size("set") > 0)
+    return _pairs_of_sets(written(sets.groupBy("set").agg(F.min("id").alias("id")), "sets"), least)
+
+
+def _sets(df: DataFrame, k: int) -> DataFrame:
+    """(id, set) of (id, text): sorted hashes of the shingles."""
+    return df.select("id", F.array_sort(F.transform(shingles(F.col("text"), k), lambda s: F.xxhash64(s))).alias("set"))
+
+
+def _pairs_of_sets(sets: DataFrame, least: float) -> DataFrame:
+    """The pairs of (id, set), no two sets being equal."""
     flat = sets.select("id", F.size("set").alias("n"), F.explode("set").alias("s"))
     rarity = flat.groupBy("s").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     ordered = flat.join(rarity, "s", "left").groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("df", F.lit(1)).alias("df"), "s"))).alias("o"))
@@ -205,11 +214,10 @@ def deduplicated(df: DataFrame, id_col: str, text: str, least: float = 0.8, k: i
     solid = rows.filter("hash <> ''")
     firsts = solid.groupBy("hash").agg(F.min("id").alias("first"))
     heads = solid.join(firsts, (solid.hash == firsts.hash) & (solid.id == firsts["first"])).select("id", "text")
-    sets = heads.select("id", F.array_sort(F.transform(shingles(F.col("text"), k), lambda s: F.xxhash64(s))).alias("set"))
-    twins = sets.groupBy("set").agg(F.min("id").alias("rep"))
+    sets = written(_sets(heads, k), "sets")
+    twins = written(sets.groupBy("set").agg(F.min("id").alias("rep")), "twins")
     rep = written(sets.join(twins, "set").select("id", "rep"), "reps")  # hashes differ but shingles do not: similarity 1
-    pairs = similar_pairs(heads, "id", "text", least, k)
-    pairs = written(pairs, "near")
+    pairs = written(_pairs_of_sets(twins.filter(F.size("set") > 0).withColumnRenamed("rep", "id"), least), "near")
     kept = first_kept(rep.select(F.col("rep").alias("id")).distinct(), pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")))
     near = pairs.join(kept.filter("kept").withColumnRenamed("id", "id_a"), "id_a", "left_semi").groupBy("id_b").agg(F.min_by(F.struct(F.col("id_a").alias("of"), "similarity"), "id_a").alias("m"))
     state = kept.join(near, kept.id == near.id_b, "left").select(F.col("id").alias("rep"), "kept", "m.of", "m.similarity")

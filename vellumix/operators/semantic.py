@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
+from vellumix.storage import written
+
 from .vectors import top_k
 
 
@@ -48,7 +50,7 @@ class Lsa:
         size = len(model.stages[4].vocabulary)
         if not size:
             return cls(model, [])
-        rows = model.transform(df).select(vector_to_array("features", "float32").alias("x"))
+        rows = written(model.transform(df).select(vector_to_array("features", "float32").alias("x")), "features")
         n = min(size, dims + 8)
         basis = np.linalg.qr(np.random.default_rng(seed).normal(size=(size, n)))[0]
         names = [f"c{k}" for k in range(n)]

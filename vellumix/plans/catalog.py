@@ -10,6 +10,7 @@ from vellumix.functions.scoring import narration, with_quality, with_tags
 from vellumix.functions.text import clean_text, normalized_hash
 from vellumix.operators.dedup import deduplicated
 from vellumix.operators.screening import DEFAULT, RuleSet, with_verdict
+from vellumix.storage import written
 
 SCAN_CHARS = {"header": 3000, "density": 15_000, "hash": 200_000, "preview": 8_000}
 
@@ -44,7 +45,7 @@ def catalog_rows(profiled_docs: DataFrame) -> DataFrame:
 
 def build(docs: DataFrame, least: float = 0.8) -> DataFrame:
     """Catalogue rows with is_canonical and dup_of."""
-    rows = catalog_rows(profiled(docs))
+    rows = written(catalog_rows(profiled(docs)), "catalog")  # the chain runs once, not again for the duplicates
     choice = deduplicated(rows.select("id", "preview"), "id", "preview", least).select("id", F.col("is_canonical").cast("int").alias("is_canonical"), "dup_of")
     return rows.join(choice, "id")
 

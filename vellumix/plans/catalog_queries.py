@@ -155,7 +155,7 @@ def label_totals(s, d):
     return per.groupBy("etype", "label").agg(F.sum("k").alias("n"), F.count(F.lit(1)).alias("stories"))
 
 
-@q("story_texts", "SELECT s.id, coalesce(length(r.text), length(s.preview), 0) AS n_chars FROM stories s LEFT JOIN (SELECT try_cast(id AS BIGINT) AS id, max(text) AS text FROM raw_stories GROUP BY 1) r ON r.id = s.id")
+@q("story_texts", "SELECT s.id, coalesce(length(r.text), length(s.preview), 0)::INT AS n_chars FROM stories s LEFT JOIN (SELECT try_cast(id AS BIGINT) AS id, max(text) AS text FROM raw_stories GROUP BY 1) r ON r.id = s.id")
 def story_texts(s, d):
     whole = table(s, d, "raw_stories").select(F.col("id").try_cast("bigint").alias("id"), "text").groupBy("id").agg(F.max("text").alias("full_text"))
     return facets.with_full_text(_cat(s, d).select("id", "preview"), whole).select("id", F.length("text").alias("n_chars"))
@@ -237,7 +237,7 @@ def hit_details(s, d):
     return facets.hit_details(hits, _cat(s, d).select("id", "title", "quality_tier")).select("rank", "id", "title", "quality_tier")
 
 
-@q("zipped_chunks", "SELECT DISTINCT t.id, t.chunk_index::INT AS chunk_index, length(t.text) AS n_chars, len(v.embedding) AS dim FROM chunk_texts t JOIN chunk_vectors v ON t.id = v.id AND t.chunk_index = v.chunk_index WHERE len(v.embedding) > 0 AND t.text IS NOT NULL")
+@q("zipped_chunks", "SELECT DISTINCT t.id, t.chunk_index::INT AS chunk_index, length(t.text)::INT AS n_chars, len(v.embedding)::INT AS dim FROM chunk_texts t JOIN chunk_vectors v ON t.id = v.id AND t.chunk_index = v.chunk_index WHERE len(v.embedding) > 0 AND t.text IS NOT NULL")
 def zipped_chunks(s, d):
     keys = ["id", "chunk_index"]
     t = table(s, d, "chunk_texts").filter("text IS NOT NULL").select(*keys, "text").dropDuplicates(keys)

@@ -90,7 +90,7 @@ def _quality(s, d):
     return scoring.with_quality(_metrics(s, d), "text")
 
 
-@q("text_metrics", f"WITH {METRICS} SELECT doc_id, {', '.join(METRIC_NAMES)} FROM m")
+@q("text_metrics", f"WITH {METRICS} SELECT doc_id, {', '.join(f'{c}::INT AS {c}' if c.endswith('_count') else c for c in METRIC_NAMES)} FROM m")
 def text_metrics(s, d):
     return _metrics(s, d).select("doc_id", "metrics.*")
 
@@ -455,7 +455,7 @@ def _cues(s, d):
     return cues.withColumn("speaker", F.when(F.col("chunk_index") == 0, "NARRATOR").otherwise(F.concat(F.lit("voice "), F.col("chunk_index").cast("string"))))
 
 
-@q("cue_timeline", f"WITH {LINES} SELECT id, chunk_index, cue_no, start_sec, round(start_sec + d, 3) AS end_sec FROM c")
+@q("cue_timeline", f"WITH {LINES} SELECT id, chunk_index, cue_no::INT AS cue_no, start_sec, round(start_sec + d, 3) AS end_sec FROM c")
 def cue_timeline(s, d):
     return _cues(s, d).select("id", "chunk_index", "cue_no", "start_sec", "end_sec")
 
