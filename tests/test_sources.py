@@ -99,3 +99,12 @@ def test_a_failed_batch_is_taken_again(spark, tmp_path, monkeypatch):
         job.run(spark, source, SCHEMA)
     monkeypatch.undo()
     assert job.run(spark, source, SCHEMA).first().rows_written == 1
+
+
+def test_written_tables_are_cleared(spark):
+    from vellumix import storage
+
+    df = storage.written(spark.range(3), "t")
+    path = df.inputFiles()[0].removeprefix("file://")
+    assert df.count() == 3 and os.path.exists(path)
+    assert storage.clear(spark) >= 1 and not os.path.exists(path) and storage.clear(spark) == 0

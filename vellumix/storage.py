@@ -36,13 +36,26 @@ def shared_dir(spark: SparkSession) -> str:
     return set_dir.rstrip("/")
 
 
+_WRITTEN: list[str] = []
+
+
 def written(df: DataFrame, label: str = "step") -> DataFrame:
     """Write ``df`` once to the shared folder as Parquet and read it back.
 
     Cuts lineage without localCheckpoint: the files outlive any executor, and columns that a later
-    step does not use are not read again.
+    step does not use are not read again. Results read these tables, so they stay until ``clear``.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear(spark: SparkSession) -> int:
+    """Delete the tables that ``written`` made in this process, once their results are stored; how many there were."""
+    n = len(_WRITTEN)
+    while _WRITTEN:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return n
