@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,6 +39,21 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 _WRITTEN: list[str] = []
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Hand this package to the executors' Python workers, once for each application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).parent
+    target = Path(tempfile.mkdtemp(prefix="vellumix-code-")) / "vellumix.zip"  # of the driver, which serves it
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as out:
+        for path in sorted(root.rglob("*.py")):
+            out.write(path, path.relative_to(root.parent))
+    sc.addPyFile(str(target))
+    _SHIPPED.add(sc.applicationId)
 
 
 def written(df: DataFrame, label: str = "step") -> DataFrame:
