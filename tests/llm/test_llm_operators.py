@@ -124,6 +124,14 @@ def test_neighbour_recall(spark):
     assert np.mean([len(got[i] & set(np.argsort(-s[i])[:5].tolist())) / 5 for i in got]) >= 0.9
 
 
+def test_repeated_rows_of_other_tasks_take_no_place(spark):
+    x = np.random.default_rng(3).normal(size=(40, 8)).astype(np.float32)
+    rows = [(i, 0, v.tolist()) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows * 3, "id bigint, chunk_index smallint, embedding array<float>").repartition(7)
+    near = knn.neighbours(df, ["id", "chunk_index"], dim=8)
+    assert near.count() == 40 * 5 and near.select("id", "nb_id").distinct().count() == 40 * 5
+
+
 def test_traversal_is_best_first():
     rng = np.random.default_rng(1)
     x = knn._unit(rng.normal(size=(800, 12))).astype(np.float32)

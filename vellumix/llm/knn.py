@@ -261,8 +261,11 @@ def neighbours(df: DataFrame, keys: list[str], vector: str = "embedding", dim: i
         base = base[np.unique(pid[base], return_index=True)[1]]  # equal vectors of several tasks
         base = base[np.argsort(leaf[base], kind="stable")]
         at_leaf = leaf[base]
-        order = np.argsort(asked, kind="stable")
+        order = np.lexsort((pid[row], asked))
         asked, row = asked[order], row[order]
+        # rows of one vector that came from several tasks ask once
+        once = np.r_[True, (asked[1:] != asked[:-1]) | (pid[row][1:] != pid[row][:-1])][: len(asked)]
+        asked, row = asked[once], row[once]
         out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
         for at in np.flatnonzero(np.r_[True, asked[1:] != asked[:-1]]) if len(asked) else ():
             lf = asked[at]
