@@ -150,3 +150,21 @@ def test_banded_choice_matches_a_loop(spark):
         if best is None:
             canon.append(i)
     assert got == want
+
+
+def test_catalog_decides_copies_on_whole_texts(spark):
+    from vellumix.plans import catalog
+
+    rng = random.Random(7)
+    words = lambda n: " ".join(f"w{rng.randrange(5000)}" for _ in range(n))
+    opening = words(2000)  # longer than the preview
+    ends = [words(3000), words(3000)]
+    texts = [f"{opening} {ends[0]}", f"{opening} {ends[1]}", f"{opening} {ends[0]}".upper()]
+    short = [f"s{k}" for k in range(45)]
+    texts += [" ".join(short), " ".join([*short[:20], "x", *short[21:]])]  # similarity 0.83 in runs of four words, 0.78 in runs of five
+    docs = [(i, "t", "a", t, [], "s", "d") for i, t in enumerate(texts)]
+    frame = spark.createDataFrame(docs, "id bigint, title string, author string, text string, tags array<string>, source_archive string, created_date string")
+    got = {r.id: r for r in catalog.build(frame).collect()}
+    assert len(got[0].preview) == 8000 and got[0].preview == got[1].preview
+    assert [(got[i].is_canonical, got[i].dup_of) for i in range(5)] == [(1, None), (1, None), (0, 0), (1, None), (1, None)]
+    assert got[0].exact_hash == got[2].exact_hash != got[1].exact_hash and "clean" not in got[0]

@@ -12,7 +12,9 @@ from vellumix.operators.dedup import deduplicated
 from vellumix.operators.screening import DEFAULT, RuleSet, with_verdict
 from vellumix.storage import written
 
-SCAN_CHARS = {"header": 3000, "density": 15_000, "hash": 200_000, "preview": 8_000}
+SCAN_CHARS = {"header": 3000, "density": 15_000, "preview": 8_000}
+#: Words of a shingle by which near copies are decided.
+SHINGLE_WORDS = 5
 
 
 def profiled(docs: DataFrame, rules: RuleSet = DEFAULT, entities: bool = True) -> DataFrame:
@@ -28,8 +30,8 @@ def profiled(docs: DataFrame, rules: RuleSet = DEFAULT, entities: bool = True) -
     return out.withColumn("tts", narration(F.col("clean"), F.col("metrics"), F.col("quality"), F.col("taxonomy.roles")))
 
 
-def catalog_rows(profiled_docs: DataFrame) -> DataFrame:
-    """Flat catalogue rows of profiled documents, before the duplicates are decided."""
+def catalog_rows(profiled_docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Flat catalogue rows of profiled documents, before the duplicates are decided; ``keep`` names further columns."""
     m, q, t = "metrics", "quality", "taxonomy"
     return profiled_docs.select(
         "id", "title", "author", "source_archive", "created_date",
@@ -39,15 +41,15 @@ def catalog_rows(profiled_docs: DataFrame) -> DataFrame:
         F.to_json(f"{t}.themes").alias("tropes"), F.to_json(f"{t}.roles").alias("archetypes"), F.to_json(f"{t}.places").alias("settings"),
         F.col(f"{t}.level").alias("heat_level"), f"{t}.pov", f"{t}.pacing", F.col(f"{t}.duration").alias("duration_tier"),
         F.col("tts.minutes").alias("tts_minutes"), F.col("tts.suitability").alias("suitability"),
-        normalized_hash(F.col("clean"), SCAN_CHARS["hash"]).alias("exact_hash"), F.substring("clean", 1, SCAN_CHARS["preview"]).alias("preview"),
+        normalized_hash(F.col("clean")).alias("exact_hash"), F.substring("clean", 1, SCAN_CHARS["preview"]).alias("preview"), *keep,
     )
 
 
 def build(docs: DataFrame, least: float = 0.8) -> DataFrame:
-    """Catalogue rows with is_canonical and dup_of."""
-    rows = written(catalog_rows(profiled(docs)), "catalog")  # the chain runs once, not again for the duplicates
-    choice = deduplicated(rows.select("id", "preview"), "id", "preview", least).select("id", F.col("is_canonical").cast("int").alias("is_canonical"), "dup_of")
-    return rows.join(choice, "id")
+    """Catalogue rows with is_canonical and dup_of, which are decided on the whole clean texts."""
+    rows = written(catalog_rows(profiled(docs), ("clean",)), "catalog")  # the chain runs once, not again for the duplicates
+    choice = deduplicated(rows.select("id", "clean"), "id", "clean", least, SHINGLE_WORDS).select("id", F.col("is_canonical").cast("int").alias("is_canonical"), "dup_of")
+    return rows.drop("clean").join(choice, "id")
 
 
 def audit(catalog: DataFrame) -> DataFrame:
