@@ -91,3 +91,20 @@ def test_metrics_match_python(spark):
 def test_upper_median(spark):
     rows = spark.createDataFrame([(1,), (5,), (9,), (20,)], "x int")
     assert rows.agg(metrics.upper_median(F.col("x"))).first()[0] == 9
+
+
+def test_windowed_density_uses_the_operators_window(spark, tmp_path, monkeypatch):
+    from vellumix.plans import text_queries
+
+    seen, inner = [], metrics.with_metrics
+    monkeypatch.setattr(metrics, "with_metrics", lambda *a, **k: seen.append(k.get("scan_chars")) or inner(*a, **k))
+    texts = ["warm cold " * 50 + "x " * 400, "   " * 300 + "warm", None, "warm y"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: (r.ttr, r.sensory_density) for r in text_queries.windowed_density(spark, str(tmp_path)).collect()}
+    assert seen == [500] and got == {0: (0.02, 1.0), 1: (0.0, 0.0), 2: (0.0, 0.0), 3: (1.0, 0.5)}
+
+
+def test_metrics_over_the_references_window(spark):
+    rows = spark.createDataFrame([("warm " * 3000 + "stone " * 3000,), ("warm " * 1000 + "stone " * 1000,)], "t string")
+    wide = [r.metrics for r in metrics.with_metrics(rows, "t", scan_chars=15_000).collect()]
+    assert [m.sensory_density for m in wide] == [1.0, 0.5] and [m.word_count for m in wide] == [6000, 2000]

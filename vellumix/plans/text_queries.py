@@ -97,8 +97,8 @@ def text_metrics(s, d):
 
 @q("windowed_density", f"WITH {METRICS.replace(WHOLE, HEAD)} SELECT doc_id, ttr, sensory_density, marked_density FROM m")
 def windowed_density(s, d):
-    rows = _docs(s, d).withColumn("text", F.coalesce("text", F.lit("")))
-    return metrics.with_metrics(rows.withColumn("head", F.substring("text", 1, 500)), "head").select("doc_id", "metrics.ttr", "metrics.sensory_density", "metrics.marked_density")
+    """Over the window of its SQL, by the operator's own parameter; ``text_metrics`` has the same values of whole texts."""
+    return metrics.with_metrics(_docs(s, d), "text", scan_chars=500).select("doc_id", "metrics.ttr", "metrics.sensory_density", "metrics.marked_density")
 
 
 @q("word_frequency_topk", f"SELECT word, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), '{TOKEN}')) AS word FROM documents) GROUP BY word ORDER BY n DESC, word LIMIT 100")
