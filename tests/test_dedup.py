@@ -168,3 +168,17 @@ def test_catalog_decides_copies_on_whole_texts(spark):
     assert len(got[0].preview) == 8000 and got[0].preview == got[1].preview
     assert [(got[i].is_canonical, got[i].dup_of) for i in range(5)] == [(1, None), (1, None), (0, 0), (1, None), (1, None)]
     assert got[0].exact_hash == got[2].exact_hash != got[1].exact_hash and "clean" not in got[0]
+
+
+def test_sketches_and_hashes_read_whole_texts(spark, tmp_path):
+    from vellumix.plans import text_queries
+
+    rng = random.Random(8)
+    words = lambda n: " ".join(f"w{rng.randrange(9000)}" for _ in range(n))
+    opening = words(36_000)  # over 200,000 characters
+    texts = [f"{opening} {words(36_000)}" for _ in range(2)] + [opening[:40_000] + words(12_000), opening[:40_000] + words(12_000)]
+    assert len(opening) > 200_000
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    assert len({r.hash for r in text_queries.normalized_hash(spark, str(tmp_path)).collect()}) == 4
+    assert len({r.sig for r in text_queries.minhash128_signature(spark, str(tmp_path)).collect()}) == 4
+    assert all(r.is_canonical for r in text_queries.near_dup_banded(spark, str(tmp_path)).collect())

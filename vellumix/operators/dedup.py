@@ -79,8 +79,8 @@ def _wide_coefficients() -> tuple[np.ndarray, np.ndarray]:
     return x[0::2], x[1::2]
 
 
-def wide_signature(text: str, memo: dict[str, int], first_chars: int = 30_000) -> np.ndarray:
-    """128 minima over hashed runs of five blank-separated words; zeros for blank text."""
+def wide_signature(text: str, memo: dict[str, int], first_chars: int | None = None) -> np.ndarray:
+    """128 minima over hashed runs of five blank-separated words; zeros for blank text. The reference reads the first 30,000 characters."""
     tokens = text[:first_chars].split()
     if not tokens:
         return np.zeros(WIDE_SLOTS, np.int64)
@@ -252,7 +252,7 @@ def deduplicated_banded(df: DataFrame, id_col: str, text: str, least: float = 0.
     estimate reaches ``least``. Exact copies and rows with equal sketches follow the first of them.
     Blank texts are not canonical and have no ``dup_of``.
     """
-    rows = written(df.select(F.col(id_col).alias("id"), normalized_hash(F.col(text), 200_000).alias("hash"), minhash128(F.col(text)).alias("sig")), "sketched")
+    rows = written(df.select(F.col(id_col).alias("id"), normalized_hash(F.col(text)).alias("hash"), minhash128(F.col(text)).alias("sig")), "sketched")
     solid = rows.filter("hash <> ''")
     reps = solid.groupBy("sig").agg(F.min("id").alias("rep"))
     own = written(solid.join(reps, "sig").select("id", "rep"), "reps")

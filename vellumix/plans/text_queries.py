@@ -178,7 +178,7 @@ HASH = f"CASE WHEN {squeeze('lower(coalesce(text, ' + chr(39) * 2 + '))')} = ''
 
 @q("normalized_hash", f"SELECT doc_id, {HASH} AS hash FROM documents")
 def normalized_hash(s, d):
-    return _docs(s, d).select("doc_id", text.normalized_hash(F.col("text"), 200_000).alias("hash"))
+    return _docs(s, d).select("doc_id", text.normalized_hash(F.col("text")).alias("hash"))
 
 
 @q("exact_duplicates", f"WITH h AS (SELECT doc_id, {HASH} AS hash FROM documents), c AS (SELECT hash, min(doc_id) AS f, count(*) AS n FROM h WHERE hash <> '' GROUP BY hash) SELECT doc_id AS id, CASE WHEN f <> doc_id THEN f END AS dup_of, n AS cluster_size FROM h JOIN c USING (hash)")
