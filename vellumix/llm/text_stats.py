@@ -2,14 +2,18 @@
 
 Method: length, symbol, digit, punctuation, bullet and common-word statistics are computed with
 vectorised counts over the code points of a whole batch and over its runs of words; published kinds
-of fixed thresholds (symbol and digit ratio, bullet share, common-word share, repetition) are then
+of fixed thresholds (symbol and digit ratio, odd tokens, common-word share, repetition) are then
 applied to each part of a text, and the reason is recorded for each part that fails. A text is not
 prose if the failing parts hold more than half of its characters.
 
-A part is a line with a rule of its own (marks, digits, bullets) or a run of neighbouring lines of
+A part is a line with a rule of its own (marks, digits, odd tokens) or a run of neighbouring lines of
 at least ``RUN_WORDS`` words; so verse and dialogue in short lines is judged as a whole. Texts of
 fewer than ``MIN_WORDS`` words fail only by their characters.
 
+The shares of bullet lines and of lines with an end mark and the mean word length are given as
+statistics only; no rule uses them. A bullet list passes if its entries hold enough common words or
+are Japanese.
+
 Defined cases: null texts give null statistics and are not reported; empty and blank texts give
 zeros and count as prose (nothing in them is unreadable); repeated rows give repeated results.
 Other columns are ignored.
