@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import base64
 import os
-import re
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,8 +13,6 @@ from .common import map_arrow
 DEFAULT = os.environ.get("VELLUMIX_TOKENIZER", "/opt/tokenizers/byte_bpe_50k.tiktoken")
 #: Fixed value: the published split pattern of the byte-level vocabulary.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
-#: A run without a blank longer than this is cut before merging, as merging takes time in its square.
-LONGEST_RUN = 2000
 
 
 def encoder(path: str):
@@ -27,17 +24,9 @@ def encoder(path: str):
     return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-_LONG = re.compile(r"\S{%d}" % LONGEST_RUN)
-
-
 def count_tokens(encoding, text: str | None) -> int:
-    """Number of tokens; 0 for null."""
-    if not text:
-        return 0
-    if not _LONG.search(text):
-        return len(encoding.encode_ordinary(text))
-    cut = _LONG.sub(lambda m: m[0] + "\0", text).split("\0")
-    return sum(len(encoding.encode_ordinary(t)) for t in cut if t)
+    """Number of tokens; 0 for null. The encoder merges long runs with a queue, so no text is cut beforehand."""
+    return len(encoding.encode_ordinary(text)) if text else 0
 
 
 def sized(df: DataFrame, keys: list[str], text: str = "text", tokenizer: str = DEFAULT) -> DataFrame:
