@@ -2,6 +2,7 @@
 
 import random
 import re
+import unicodedata
 
 import numpy as np
 import pytest
@@ -419,10 +420,43 @@ def test_lookalikes(spark):
 
 
 def test_repair_needs_a_dominant_script():
-    assert confusables.repairs("саfé", "Latin") == ("café",)
-    assert confusables.repairs("моpе", "Cyrillic") == ("море",)
-    assert confusables.repairs("море", "Cyrillic") == () and confusables.repairs("море", "Latin") == ()
-    assert confusables.repairs("а", "Latin") == ("a",) and confusables.repairs("а", "Cyrillic") == ()
+    assert confusables.repaired("саfé", "Latin") == confusables.repaired("саfé", "Cyrillic") == "café"
+    assert confusables.repaired("моpе", "Latin") == "море"
+    assert confusables.repaired("море", "Latin") == "море"
+    assert confusables.repaired("а", "Latin") == "a" and confusables.repaired("а", "Cyrillic") == "а"
+    assert confusables.repaired("жv", "Greek") == confusables.repaired("жν", "Greek")
+    assert confusables.doubtful_tokens("junto al рі́o grande") == [("рі́o", "río")]
+    assert confusables.dominant("аАoO 12") is None and confusables.dominant("сafe") == "Latin"
+
+
+def test_the_vocabulary_decides(spark):
+    rows = [(1, "the harbour of Lundz"), (2, "the harbour of Lundz сlоud"), (3, "the harbour of Lundz сloud"), (4, "a fоg"), (5, "the fire"), (6, "аn fire"), (7, "a mіst")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    forms = {r.id: r.text_unified for r in confusables.look_classes(df).collect()}
+    assert forms[2] == forms[3] == "the harbour of Lundz cloud"  # two spellings of a word
+    assert forms[4] == "a fоg" and forms[7] == "a mіst"  # no other text holds the word
+    assert {(r.id_a, r.id_b) for r in confusables.lookalike_pairs(df).collect()} == {(2, 3)}
+    more = df.union(spark.createDataFrame([(8, "fog and mist"), (9, "a fog")], df.schema))
+    forms = {r.id: r.text_unified for r in confusables.look_classes(more).collect()}
+    assert forms[4] == "a fog" and forms[7] == "a mist"
+    assert {(r.id_a, r.id_b) for r in confusables.lookalike_pairs(more).collect()} == {(2, 3), (4, 9)}
+
+
+def test_pairs_of_any_spelling_match_the_shapes(spark):
+    """Texts whose letters are swapped at random pair exactly if their letters' shapes are equal."""
+    rng = random.Random(4)
+    foreign = {}
+    for a, b in confusables.SHAPES.items():
+        foreign.setdefault(b, []).append(a)
+    words = ["Echo", "Pico", "harbour", "cave", "spice", "oyster", "море", "сосна", "κύμα", "νερό", "AB", "x"]
+    docs = []
+    for k in range(40):
+        base = " ".join(rng.choice(words) for _ in range(rng.randrange(1, 7)))
+        docs += ["".join(rng.choice(foreign[c]) if c in foreign and rng.random() < 0.3 else c for c in base) for _ in range(3)]
+    shape = lambda t: "".join(confusables.SHAPES.get(c, c) for c in unicodedata.normalize("NFD", t))
+    want = {(i, j) for i in range(len(docs)) for j in range(i + 1, len(docs)) if docs[i] != docs[j] and shape(docs[i]) == shape(docs[j])}
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id bigint, text string")
+    assert {(r.id_a, r.id_b) for r in confusables.lookalike_pairs(df).collect()} == want and len(want) > 60
 
 
 def test_emoji_keep_their_joiners():

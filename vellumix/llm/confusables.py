@@ -1,16 +1,18 @@
 """Problem 10: bring text that looks the same to one consistent form.
 
 Method: script-aware repair. Width and joined forms, composition, invisible characters and kinds of
-blank are folded first. Then the dominant script of each token is determined; in a mixed-script
-token the letters of the other scripts are replaced by look-alikes of the dominant one, and the
-replacement is kept only if the result occurs in the corpus vocabulary. A token that consists of
-look-alikes only has no dominant script of its own and takes that of its text.
-Equal appearance is decided on the repaired text by its skeleton, in which every letter stands for
-its shape.
-
-Scale: texts are folded in one pass; the vocabulary is a pre-aggregated distinct joined with the few
-distinct mixed tokens, and only documents that hold such a token are touched again. Documents are
-grouped by a 128-bit hash of the skeleton: texts are not shuffled.
+blank are folded first. Then the dominant script of each token is determined, by its letters without
+a look-alike; in a mixed-script token the letters of the other scripts are replaced by look-alikes of
+the dominant one, and the replacement is kept only if the result occurs in the corpus vocabulary. A
+token that consists of look-alikes only has no dominant script of its own and takes that of its text.
+A word counts as part of the vocabulary if a text holds it in that form, or if two different
+spellings in the corpus are repaired to it; so two altered copies of a word meet although the
+unaltered one occurs nowhere. Equal appearance is equality of the repaired texts.
+
+Scale: texts are folded in one pass, which also hashes those without a doubtful token; the vocabulary
+is a pre-aggregated distinct joined with the few distinct repairs, and only documents that hold a
+doubtful token are touched again. Documents are grouped by a 128-bit hash of the repaired text: texts
+are not shuffled, but for those with a doubtful token.
 
 Defined cases: null texts stay null and form no pair; empty or blank texts stay as they are; texts
 without a letter or digit form no pair; repeated rows of a document count once; joiners and
@@ -24,14 +26,14 @@ import functools
 import hashlib
 import re
 import unicodedata
-from collections import Counter
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vellumix.storage import written
 
-from .common import map_arrow
+from .common import code_points, map_arrow
 
 #: Letters of Cyrillic and Greek (and a few Latin ones) and the plain Latin letter of the same shape.
 SHAPES = dict(
@@ -42,7 +44,9 @@ SHAPES = dict(
     )
 )
 AMBIGUOUS = set(SHAPES) | set(SHAPES.values())
-TOKEN = re.compile(r"[^\W\d_]+")
+#: A letter, and letters with their combining marks.
+TOKEN = re.compile(r"[^\W\d_](?:[^\W\d_]|[\u0300-\u036f])*")
+INK = re.compile(r"[^\W_]")
 EMOJI = (0x1F000, 0x1FAFF), (0x2600, 0x27BF), (0x2190, 0x21FF), (0x2B00, 0x2BFF)
 
 
@@ -72,35 +76,35 @@ def _emoji(c: str) -> bool:
 KEEPER = re.compile("[\ufe0f\u200d]")
 
 
+@functools.cache
+def _foldable() -> re.Pattern:
+    # the tags and selectors beyond the basic plane as a range: single characters there are looked up one by one
+    return re.compile("[" + re.escape("".join(chr(c) for c in fold_table() if c < 0x10000)) + "\U000e0000-\U000e01ff]")
+
+
 def fold(text: str) -> str:
     """Text with one width, one composition, one blank and nothing invisible."""
     text = text.replace("\r\n", "\n")
     if text.isascii():
         return text.replace("\t", " ")
-    table = fold_table()
-    if KEEPER.search(text) and any(_emoji(c) for c in text):
-        out = []
-        for i, c in enumerate(text):
-            before = text[i - 1] if i else ""
-            if c == "\ufe0f" and before and _emoji(before):
-                out.append(c)
-            elif c == "\u200d" and before and (_emoji(before) or before == "\ufe0f") and i + 1 < len(text) and _emoji(text[i + 1]):
-                out.append(c)
-            else:
-                out.append(table.get(ord(c), c))
-        text = "".join(out)
-    else:
-        text = text.translate(table)
+    if _foldable().search(text):
+        table = fold_table()
+        if KEEPER.search(text) and any(_emoji(c) for c in text):
+            out = []
+            for i, c in enumerate(text):
+                before = text[i - 1] if i else ""
+                if c == "\ufe0f" and before and _emoji(before):
+                    out.append(c)
+                elif c == "\u200d" and before and (_emoji(before) or before == "\ufe0f") and i + 1 < len(text) and _emoji(text[i + 1]):
+                    out.append(c)
+                else:
+                    out.append(table.get(ord(c), c))
+            text = "".join(out)
+        else:
+            text = _foldable().sub(lambda m: table.get(ord(m[0]), m[0]), text)
     return unicodedata.normalize("NFC", text)
 
 
-def skeleton(text: str) -> str:
-    """Folded text with each letter replaced by the letter that stands for its shape."""
-    if text.isascii():
-        return text
-    return unicodedata.normalize("NFC", unicodedata.normalize("NFD", text).translate({ord(a): b for a, b in SHAPES.items()}))
-
-
 def script(c: str) -> str:
     """Latin, Cyrillic, Greek or other."""
     cp = ord(c)
@@ -112,102 +116,122 @@ def script(c: str) -> str:
 
 
 @functools.cache
-def _towards() -> dict[str, dict[int, str]]:
-    """For each script the letters of the others that have a look-alike in it."""
-    to: dict[str, dict[int, str]] = {"Latin": {}, "Greek": {}, "Cyrillic": {}}
-    for foreign, latin in SHAPES.items():
-        to["Latin"][ord(foreign)] = latin
-        if script(foreign) in ("Greek", "Cyrillic"):
-            to[script(foreign)].setdefault(ord(latin), foreign)
-    for a, latin_a in SHAPES.items():
-        for b, latin_b in SHAPES.items():
-            if latin_a == latin_b and {script(a), script(b)} == {"Greek", "Cyrillic"}:
-                to[script(b)].setdefault(ord(a), b)
-    return to
-
-
-def dominant(letters: str) -> str:
-    """The script of most letters; ties go to Latin, Cyrillic, Greek in this order."""
-    own = Counter(script(c) for c in letters)
-    return max(("Latin", "Cyrillic", "Greek"), key=lambda s: own[s])
-
-
-@functools.lru_cache(maxsize=100_000)
-def repairs(token: str, around: str) -> tuple[str, ...]:
-    """Ways to write a token in one script, best first; none where it needs no repair or can't have one.
-
-    ``around`` is the dominant script of the whole text. A mixed token goes to the script of its
-    letters without look-alikes; one that has no such letter may go to that of the text, then to
-    that of most of its letters. A token of a single script is touched only if all its letters are
-    look-alikes of the text's own script.
+def _towards(best: str) -> dict[int, str]:
+    """Letters of the other scripts that have a look-alike in ``best``."""
+    if best == "Latin":
+        return {ord(a): b for a, b in SHAPES.items()}
+    own: dict[str, str] = {}
+    for letter, latin in SHAPES.items():
+        if script(letter) == best:
+            own.setdefault(latin, letter)
+    from_latin = {ord(latin): letter for latin, letter in own.items()}
+    return from_latin | {ord(a): own.get(b, b) for a, b in SHAPES.items() if script(a) != best}
+
+
+SCRIPTS = ("Latin", "Cyrillic", "Greek")
+#: Letters that can make a token of a Latin text doubtful.
+FOREIGN = re.compile("[\u0370-\u03ff\u1f00-\u1fff\u0400-\u052f" + "".join(c for c in SHAPES if script(c) == "Latin") + "]")
+
+
+@functools.cache
+def _firm_table() -> np.ndarray:
+    """For each code point of the basic plane 1, 2 or 3: a Latin, Cyrillic or Greek letter that has no look-alike; else 0."""
+    table = np.zeros(0x10000, np.uint8)
+    for cp in [*range(0x41, 0x530), *range(0x1E00, 0x2000)]:
+        base = unicodedata.normalize("NFD", chr(cp))[0]
+        if chr(cp).isalpha() and base not in AMBIGUOUS and script(base) != "other":
+            table[cp] = 1 + SCRIPTS.index(script(base))
+    return table
+
+
+def dominant(text: str) -> str | None:
+    """The script of most letters that have no look-alike; ties go to Latin, Cyrillic, Greek in this order; None without any."""
+    cp = code_points(text)
+    own = np.bincount(_firm_table()[cp[cp < 0x10000]], minlength=4)[1:]
+    return SCRIPTS[int(np.argmax(own))] if own.any() else None
+
+
+@functools.lru_cache(maxsize=200_000)
+def repaired(token: str, around: str) -> str:
+    """A token in one script: that of its letters without look-alikes, else that of its text.
+
+    Letters of that script stay; of the others each look-alike is replaced, by the Latin letter of its
+    shape where the script itself has none. Tokens that look the same come out the same.
     """
-    parts = unicodedata.normalize("NFD", token)
-    letters = "".join(c for c in parts if not unicodedata.combining(c))
-    own = {script(c) for c in letters}
-    firm = "".join(c for c in letters if c not in AMBIGUOUS)
-    odd = any(c in "ɡıɑ" for c in letters)
-    if not odd and (own == {around} or (len(own) < 2 and (firm or own == {"other"}))):
-        return ()
-    order = [dominant(firm)] if firm else [around, *(dominant(letters),) * (len(own) > 1)]
-    found = []
-    for best in dict.fromkeys(order):
-        out = unicodedata.normalize("NFC", parts.translate(_towards()[best]))
-        if out != token and all(script(c) == best for c in unicodedata.normalize("NFD", out) if not unicodedata.combining(c)):
-            found.append(out)
-    return tuple(found)
-
-
-def doubtful_tokens(text: str) -> tuple[str, list[str]]:
-    """Dominant script of a folded text, and its distinct tokens that may need a repair."""
+    out = unicodedata.normalize("NFD", token).translate(_towards(dominant(token) or around))
+    return unicodedata.normalize("NFC", out)
+
+
+def doubtful_tokens(text: str) -> list[tuple[str, str]]:
+    """Distinct tokens of a folded text that would be changed, with what they would become."""
     if text.isascii():
-        return "Latin", []
-    letters = unicodedata.normalize("NFD", "".join(TOKEN.findall(text)))
-    around = dominant("".join(c for c in letters if c not in AMBIGUOUS) or letters)
-    return around, [t for t in dict.fromkeys(TOKEN.findall(text)) if not (t.isascii() and around == "Latin") and repairs(t, around)]
+        return []
+    around = dominant(text) or "Latin"
+    if around == "Latin" and not FOREIGN.search(text):
+        return []
+    found = set(TOKEN.findall(text))
+    if around == "Latin":
+        found = {t for t in found if FOREIGN.search(t)}
+    return sorted((t, better) for t in found if (better := repaired(t, around)) != t)
+
+
+def _digest(text: str) -> bytes:
+    return hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+
+
+def _look(text: str | None) -> bytes | None:
+    return _digest(text) if text is not None and INK.search(text) else None
 
 
 def unified(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, text_unified, look) per distinct row; ``look`` is the hash by which equal-looking texts compare as equal, null for texts without a letter or digit."""
+    """(id, raw_hash, text_unified, changed, look) per row; ``look`` is the hash of the repaired text, by which equal-looking texts compare as equal, null for texts without a letter or digit."""
     kind = dict(df.dtypes)[id_col]
     rows = df.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
 
     def first(cols: dict) -> dict:
-        folded = [None if t is None else fold(t) for t in cols["text"].to_pylist()]
+        raw = cols["text"].to_pylist()
+        folded = [None if t is None else fold(t) for t in raw]
         doubts = [doubtful_tokens(t or "") for t in folded]
-        return {"id": cols["id"], "raw": cols["text"], "folded": folded, "around": [a for a, _ in doubts], "mixed": [m for _, m in doubts]}
-
-    folded = written(map_arrow(rows, ["id", "text"], f"id {kind}, raw string, folded string, around string, mixed array<string>", first), "folded")
-    doubts = folded.select("around", F.explode("mixed").alias("token")).distinct()
-
-    def second(cols: dict) -> dict:
-        return {"around": cols["around"], "token": cols["token"], "ways": [list(repairs(t, a)) for t, a in zip(cols["token"].to_pylist(), cols["around"].to_pylist())]}
-
-    better = map_arrow(doubts, ["around", "token"], "around string, token string, ways array<string>", second).select("around", "token", F.posexplode("ways").alias("rank", "better"))
-    # \p{M} keeps a mark that does not compose inside its token, as TOKEN would not: such tokens are simply not looked up
-    vocabulary = folded.select(F.explode(F.array_distinct(F.regexp_extract_all("folded", F.lit(r"\p{L}+"), F.lit(0)))).alias("better")).distinct()
-    known = better.join(vocabulary, "better", "left_semi").groupBy("around", "token").agg(F.min_by("better", "rank").alias("better"))
+        return {
+            "id": cols["id"],
+            "raw_hash": [None if t is None else _digest(t) for t in raw],
+            "folded": folded,
+            "changed": [a != b for a, b in zip(raw, folded)],
+            "mixed": [[{"token": t, "better": b} for t, b in d] for d in doubts],
+            "look": [None if d else _look(t) for t, d in zip(folded, doubts)],
+        }
+
+    folded = written(map_arrow(rows, ["id", "text"], f"id {kind}, raw_hash binary, folded string, changed boolean, mixed array<struct<token:string,better:string>>, look binary", first), "folded")
+    doubts = folded.select(F.explode("mixed").alias("m")).select("m.*").distinct()
+    vocabulary = folded.select(F.explode(F.array_distinct(F.regexp_extract_all("folded", F.lit(r"\p{L}[\p{L}\x{300}-\x{36f}]*"), F.lit(0)))).alias("better")).distinct()
+    spelled = doubts.groupBy("better").agg(F.count_distinct("token").alias("n")).filter("n > 1").select("better")
+    known = doubts.join(vocabulary.unionByName(spelled).distinct(), "better", "left_semi")
     plan = (
         folded.filter(F.size("mixed") > 0)
-        .select("id", "around", F.explode("mixed").alias("token"))
-        .join(known, ["around", "token"])
-        .groupBy("id")
+        .select("id", "raw_hash", F.explode("mixed").alias("m"))
+        .select("id", "raw_hash", "m.*")
+        .join(known, ["token", "better"], "left_semi")
+        .groupBy("id", "raw_hash")
         .agg(F.collect_set(F.struct("token", "better")).alias("swaps"))
     )
 
-    def third(cols: dict) -> dict:
-        texts, looks = [], []
+    def second(cols: dict) -> dict:
+        texts, moved = [], []
         for t, swaps in zip(cols["folded"].to_pylist(), cols["swaps"].to_pylist()):
-            if t is not None and swaps:
-                swap = {s["token"]: s["better"] for s in swaps}
-                t = TOKEN.sub(lambda m: swap.get(m[0], m[0]), t)
-            texts.append(t)
-            shape = None if t is None or not any(c.isalnum() for c in t) else skeleton(t)
-            looks.append(None if shape is None else hashlib.blake2b(shape.encode("utf-8", "surrogatepass"), digest_size=16).digest())
-        return {"id": cols["id"], "raw_hash": [None if t is None else hashlib.blake2b(t.encode("utf-8", "surrogatepass"), digest_size=16).digest() for t in cols["raw"].to_pylist()], "text_unified": texts, "look": looks}
-
-    plain = folded.filter(F.size("mixed") == 0).select("id", "raw", "folded", F.lit(None).cast("array<struct<token:string,better:string>>").alias("swaps"))
-    swapped = folded.filter(F.size("mixed") > 0).join(plan, "id", "left").select("id", "raw", "folded", "swaps")
-    return map_arrow(plain.unionByName(swapped), ["id", "raw", "folded", "swaps"], f"id {kind}, raw_hash binary, text_unified string, look binary", third)
+            swap = {s["token"]: s["better"] for s in swaps or ()}
+            texts.append(TOKEN.sub(lambda m: swap.get(m[0], m[0]), t) if swap else t)
+            moved.append(bool(swap))
+        return {
+            "id": cols["id"],
+            "raw_hash": cols["raw_hash"],
+            "text_unified": texts,
+            "changed": [a or b for a, b in zip(cols["changed"].to_pylist(), moved)],
+            "look": list(map(_look, texts)),
+        }
+
+    plain = folded.filter(F.size("mixed") == 0).select("id", "raw_hash", F.col("folded").alias("text_unified"), "changed", "look")
+    again = folded.filter(F.size("mixed") > 0).join(plan, ["id", "raw_hash"], "left")
+    return plain.unionByName(map_arrow(again, ["id", "raw_hash", "folded", "changed", "swaps"], f"id {kind}, raw_hash binary, text_unified string, changed boolean, look binary", second))
 
 
 def lookalike_pairs(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -225,8 +249,7 @@ def lookalike_pairs(df: DataFrame, id_col: str = "doc_id", text: str = "text") -
 
 
 def look_classes(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, text_unified, changed, class_size): the consistent form of each document and how many documents look like it."""
+    """(id, text_unified, changed, class_size), a row for each row of ``df``: its consistent form and how many documents look like it."""
     rows = written(unified(df, id_col, text), "unified")
-    sizes = rows.filter(F.col("look").isNotNull()).groupBy("look").agg(F.count_distinct("id").alias("class_size"))
-    raw = df.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
-    return rows.join(sizes, "look", "left").join(raw, "id", "left").select("id", "text_unified", (~F.col("text").eqNullSafe(F.col("text_unified"))).alias("changed"), F.coalesce("class_size", F.lit(1)).alias("class_size")).distinct()
+    sizes = rows.filter(F.col("look").isNotNull()).select("look", "id").distinct().groupBy("look").agg(F.count(F.lit(1)).alias("class_size")).filter("class_size > 1")
+    return rows.join(sizes, "look", "left").select("id", "text_unified", "changed", F.coalesce("class_size", F.lit(1)).alias("class_size"))
