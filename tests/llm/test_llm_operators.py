@@ -135,21 +135,59 @@ def test_repeated_rows_of_other_tasks_take_no_place(spark):
 
 def test_traversal_is_best_first():
     rng = np.random.default_rng(1)
-    x = knn._unit(rng.normal(size=(800, 12))).astype(np.float32)
+    x = knn._unit(rng.normal(size=(800, 12)) + 4 * np.repeat(rng.normal(size=(20, 12)), 40, axis=0)).astype(np.float32)
     tree = knn.Tree(x, 20_000)
     order = tree.visit(x[:50], 10)
-    sims = np.take_along_axis(x[:50] @ tree.leaves.T, order, axis=1)
-    assert (np.diff(sims, axis=1) <= 1e-5).all() and np.allclose(sims[:, 0], (x[:50] @ tree.leaves.T).max(axis=1), atol=1e-5)
+    assert tree.scored < 0.6 * 50 * len(tree.leaves)
+    # by the queue itself, one entry at a time
+    priority, to_leaf = tree.priorities(x[:50]), x[:50] @ tree.leaves.T
+    for i in range(50):
+        queue = [(-p, "branch", b) for b, p in enumerate(priority[i])]
+        reached = []
+        while len(reached) < 10:
+            queue.sort()
+            value, kind, at = queue.pop(0)
+            if kind == "leaf":
+                reached.append(at)
+            else:
+                queue += [(-to_leaf[i, k], "leaf", k) for k in range(tree.first[at], tree.first[at + 1])]
+        assert reached == order[i].tolist()
+        place = tree.places(x[i : i + 1])[0]
+        assert [int(place[k]) for k in reached] == list(range(1, 11))
+
+
+def test_a_large_tree_scores_few_leaves():
+    rng = np.random.default_rng(2)
+    x = knn._unit(rng.normal(size=(8000, 16)) + 3 * np.repeat(rng.normal(size=(80, 16)), 100, axis=0)).astype(np.float32)
+    tree = knn.Tree(x, 10**9)
+    tree.visit(x[:500], 15)
+    assert tree.scored / 500 < 0.2 * len(tree.leaves)
 
 
 def test_blocks_hold_at_most_their_bound():
     sizes = np.array([5, 3, 9, 40, 2, 2, 7])
-    first, parts = knn._blocks(sizes, np.array([0, 0, 0, 0, 1, 1, 1]), 10)
+    first, parts = knn._blocks(sizes, 10)
     held = {}
     for leaf, (f, p) in enumerate(zip(first, parts)):
         for k in range(p):
             held[f + k] = held.get(f + k, 0) + sizes[leaf] / p
     assert max(held.values()) <= 10 and parts.tolist() == [1, 1, 1, 4, 1, 1, 1]
+    who, leaf, block = knn._asked_blocks(np.array([[3, 0], [6, 3]]), first, parts)
+    assert list(zip(who.tolist(), leaf.tolist())) == [(0, 3)] * 4 + [(0, 0), (1, 6)] + [(1, 3)] * 4
+    assert block[:4].tolist() == list(range(first[3], first[3] + 4))
+
+
+def test_inner_leaves_and_copied_blocks_keep_the_recall(spark, monkeypatch):
+    """Small bounds, so that leaves are divided by a hash and by an inner level, and blocks are copied."""
+    for name, value in {"MAX_LEAVES": 3, "SPLIT": 100, "LEAF": 16, "ASKS": 150}.items():
+        monkeypatch.setattr(knn, name, value)
+    rng = np.random.default_rng(9)
+    x = (rng.normal(size=(2400, 16)) + 2 * np.repeat(rng.normal(size=(120, 16)), 20, axis=0)).astype(np.float32)
+    keys = [(i, 0) for i in range(len(x))]
+    df = spark.createDataFrame([(i, 0, v.tolist()) for i, v in enumerate(x)], "id bigint, chunk_index smallint, embedding array<float>")
+    want = brute_pairs(keys, x.astype(np.float64), 5, 0.8)
+    got = {tuple(sorted((tuple(r.a), tuple(r.b)))) for r in knn.close_pairs(df, ["id", "chunk_index"], dim=16, least=0.8).collect()}
+    assert len(want - got) <= 0.02 * len(want) and len(got - want) <= 0.02 * len(want)
 
 
 def test_no_vectors(spark):
