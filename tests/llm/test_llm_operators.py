@@ -341,12 +341,31 @@ def test_repeated_lines_match_brute_force(spark):
     assert line_dedup.repeated_lines(df.limit(0)).count() == 0
 
 
-def test_equal_lines_have_equal_chunks():
-    lines = ["thankyouforreading" * k for k in (1, 2, 5)] + ["a", "bc"]
-    whole = line_dedup.chunk_lines(lines)
-    for k, line in enumerate(lines):
-        alone = line_dedup.chunk_lines([line])
-        assert whole[1][whole[0][k] : whole[0][k + 1]].tolist() == alone[1].tolist()
+def test_chunks_do_not_depend_on_what_stands_around():
+    line = "pleasesharethisstorywitheveryfriendyouhave"
+    alone = line_dedup.Chunks(line)
+    first, count = alone.within(np.array([0]), np.array([len(line)]))
+    own = alone.hashes(alone.ends[first[0] : first[0] + count[0]], alone.ends[first[0] + 1 : first[0] + count[0] + 1]).tolist()
+    assert own
+    for before, after in (("", "x"), ("abc", ""), ("theseawascalm", "andgrey"), ("s" * 50, line)):
+        run = line_dedup.Chunks(before + line + after)
+        whole = run.hashes(run.ends[:-1], run.ends[1:]).tolist()
+        assert any(whole[k : k + len(own)] == own for k in range(len(whole)))
+        a, b = np.array([len(before)]), np.array([len(before) + len(line)])
+        assert run.hashes(a, b)[0] == alone.hashes(np.array([0]), np.array([len(line)]))[0]
+
+
+def test_repeated_text_inside_a_longer_line_is_cut(spark):
+    rng = random.Random(7)
+    notice = "Please share this story with every friend you have, and come back soon!"
+    prose = [" ".join(rng.choice(["sea", "wind", "lamp", "door", "night", "stone", "grey", "walk"]) + str(rng.randrange(9)) for _ in range(30)) for _ in range(60)]
+    rows = [(str(i), "one", f"{p}\n{notice}") for i, p in enumerate(prose)]
+    rows += [("x", "one", f"{prose[0][:40]}; {notice.upper()} {prose[1][:40]}\nThe end"), ("y", "two", f"He said: {notice} And went."), ("z", None, notice), ("w", "one", None), ("v", "one", "")]
+    got = {r.id: r for r in line_dedup.without_repeated_lines(spark.createDataFrame(rows, "id string, source_archive string, text string")).collect()}
+    assert got["x"].text_clean == f"{prose[0][:40]}; ! {prose[1][:40]}\nThe end" and (got["x"].n_removed, got["x"].n_inside) == (0, 1)
+    assert got["0"].text_clean == prose[0] + "\n" and got["0"].n_removed == 1
+    assert got["y"].text_clean == rows[-4][2] and got["z"].text_clean == notice and got["w"].text_clean is None and got["v"].text_clean == ""
+    assert line_dedup.without_repeated_lines(spark.createDataFrame([], "id string, source_archive string, text string")).count() == 0
 
 
 # ---------------------------------------------------------------- 8

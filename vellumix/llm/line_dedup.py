@@ -1,14 +1,22 @@
 """Problem 7: lines repeated over many documents of one source.
 
-Method: content-defined chunking. Over the letters of a line a rolling hash of the last eight
-letters decides, by content alone, where a chunk ends; a line's end closes a chunk as well, so that
-every line is a whole number of chunks. Distinct documents are counted per (source, chunk). A line
-can recur only if each of its chunks does, hence the lines all of whose chunks recur are the
-candidates, and no case can be lost; the exact count by whole line follows on those few.
-
-Scale: texts are read once and never shuffled; chunk hashes are collapsed per document first and
-pre-aggregated before the shuffle, so that a chunk found in a third of all documents arrives as one
-row per task. A source has at most 20 recurring chunks for every chunk of its average document.
+Method: content-defined chunking. Over the letters of the running text of a document, line ends
+ignored, a rolling hash of the last ``WINDOW`` letters decides, by content alone, where a chunk ends; a
+text repeated somewhere has the same chunks there, but for its first and last letters, whatever stands
+around it. Documents are counted per (source, chunk). A line recurs only if the chunks that lie within
+it do, hence the lines whose ``ANCHORS`` chunks of smallest hash recur are the candidates, and no case
+can be lost; lines too short to hold a chunk of their own are candidates as well. The exact count by
+whole line follows on the candidates.
+
+Texts are cleaned by the same chunks: a chunk of a repeated line, wherever it occurs in a document of
+its source, is extended to the letters of that line, and these are cut if they are the same, also where
+the line's text stands inside a longer line. Repeated lines without a chunk of their own are cut only
+as whole lines: inside others they are too short to be told from prose.
+
+Scale: texts are read once and never shuffled; chunks are counted by deliveries, which is never less
+than by documents, and pre-aggregated before the shuffle, so that a chunk found in a third of all
+documents arrives as one row per task. A source has at most 20 recurring lines for every line of its
+average document; to clean texts, this list of their source is joined to them.
 
 Defined cases: null or blank sources and null ids take no part; null or empty texts have no lines;
 lines without letters never count; deliveries of one id count as one document; an empty table gives
@@ -28,7 +36,7 @@ from vellumix.storage import written
 
 from .common import U64, code_points, list_array, map_arrow, mix64, sub_batches
 
-WINDOW, MASK = 8, U64(31)
+WINDOW, MASK, ANCHORS = 5, U64(7), 2
 BASE = U64(0x9E3779B97F4A7C15)
 INVERSE = U64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 NOT_LETTER = re.compile(r"[\W\d_]+")
@@ -41,22 +49,33 @@ def letters(line: str) -> str:
     return kept if kept.isalpha() or not kept else "".join(c for c in kept if c.isalpha())
 
 
-def chunk_lines(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Chunk hashes of lines of letters (none of them empty): (offsets by line, hashes)."""
-    ends = np.cumsum([len(x) for x in lines])
-    x = mix64(code_points("".join(lines)).astype(U64) + U64(1))
-    with np.errstate(over="ignore"):
-        power = np.multiply.accumulate(np.full(len(x), INVERSE, dtype=U64)) * BASE  # INVERSE ** i
-        total = np.concatenate([[U64(0)], np.cumsum(x * np.multiply.accumulate(np.full(len(x), BASE, dtype=U64)), dtype=U64)])
-        rolled = (total[WINDOW:] - total[:-WINDOW]) * power[: max(0, len(x) - WINDOW + 1)]
-    at = np.flatnonzero((mix64(rolled) & MASK) == 0) + WINDOW  # a chunk may end before letter `at`
-    begins = ends - [len(y) for y in lines]
-    own = at - begins[np.minimum(np.searchsorted(ends, at, side="left"), len(ends) - 1)] >= WINDOW  # the window lies in one line
-    stops = np.union1d(at[own], ends)
-    froms = np.concatenate([[0], stops[:-1]])
-    with np.errstate(over="ignore"):
-        hashes = mix64((total[stops] - total[froms]) * power[froms] + (stops - froms).astype(U64))
-    return np.concatenate([[0], np.searchsorted(stops, ends, side="right")]), hashes.view(np.int64)
+class Chunks:
+    """Content-defined chunks of a run of letters, and hashes of any part of it."""
+
+    def __init__(self, text: str):
+        x = mix64(code_points(text).astype(U64) + U64(1))
+        with np.errstate(over="ignore"):
+            power = np.multiply.accumulate(np.full(len(x), BASE, dtype=U64))
+            self.back = np.concatenate([[U64(1)], np.multiply.accumulate(np.full(len(x), INVERSE, dtype=U64))])  # INVERSE ** i
+            self.total = np.concatenate([[U64(0)], np.cumsum(x * power, dtype=U64)])
+            rolled = (self.total[WINDOW:] - self.total[:-WINDOW]) * self.back[: max(0, len(x) - WINDOW + 1)]
+        #: places between two chunks; the letters that decide about a place are the WINDOW ones before it
+        self.ends = np.flatnonzero((mix64(rolled) & MASK) == 0) + WINDOW if len(x) >= WINDOW else np.zeros(0, np.int64)
+
+    def hashes(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Of the letters begin .. end; equal letters have equal hashes wherever they stand."""
+        with np.errstate(over="ignore"):
+            return mix64((self.total[end] - self.total[begin]) * self.back[begin] + (end - begin).astype(U64)).view(np.int64)
+
+    def within(self, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(first, number) for each line begin .. end: its own chunks are those from ``ends[first + i]`` to ``ends[first + i + 1]``."""
+        first = np.searchsorted(self.ends, begin + WINDOW, side="left")
+        return first, np.maximum(np.searchsorted(self.ends, end, side="right") - first - 1, 0)
+
+
+def _ranges(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """first, first + 1, ... , count numbers for each, in one array."""
+    return np.arange(count.sum()) - np.repeat(np.cumsum(count) - count - first, count)
 
 
 def source_key(source: Column) -> Column:
@@ -65,14 +84,19 @@ def source_key(source: Column) -> Column:
     return F.when(key != "", key)
 
 
+def _rows(df: DataFrame, id_col: str, source: str, text: str) -> DataFrame:
+    return df.select(F.col(id_col).cast("string").alias("id"), source_key(F.col(source)).alias("source"), F.col(text).alias("text"))
+
+
 def _chunked(df: DataFrame, id_col: str, source: str, text: str) -> DataFrame:
-    rows = df.select(F.col(id_col).cast("string").alias("id"), source_key(F.col(source)).alias("source"), F.col(text).alias("text")).dropna()
+    """(id, source, lines: line_no, key, n, lead, chunks): chunks within a line, and the letters before the first of them."""
+    rows = _rows(df, id_col, source, text).dropna()
 
     def work(cols: dict) -> dict:
         texts = cols["text"].to_pylist()
-        numbers, per_doc, spans, hashes = [], [0], [0], []
+        numbers, per_doc, parts = [], [0], []
         for a, b in sub_batches(texts):
-            kept = []
+            kept: list[str] = []
             for t in texts[a:b]:
                 n = 0
                 for k, line in enumerate(LINE_END.split(t), 1):
@@ -82,44 +106,104 @@ def _chunked(df: DataFrame, id_col: str, source: str, text: str) -> DataFrame:
                         n += 1
                 per_doc.append(per_doc[-1] + n)
             for i, j in sub_batches(kept):
-                offsets, h = chunk_lines(kept[i:j])
-                spans.extend((offsets[1:] + spans[-1]).tolist())
-                hashes.append(h)
-        inner = list_array(np.array(spans), np.concatenate(hashes) if hashes else np.zeros(0, np.int64), pa.int64())
-        lines = pa.StructArray.from_arrays([pa.array(numbers, type=pa.int32()), inner], names=["line_no", "chunks"])
+                run = Chunks("".join(kept[i:j]))
+                end = np.cumsum([len(x) for x in kept[i:j]])
+                begin = end - np.array([len(x) for x in kept[i:j]])
+                first, count = run.within(begin, end)
+                inner = _ranges(first, count)
+                lead = np.where(count > 0, run.ends[np.minimum(first, max(0, len(run.ends) - 1))] - begin, -1) if len(run.ends) else np.full(len(end), -1)
+                parts.append((run.hashes(begin, end), end - begin, lead, count, run.hashes(run.ends[inner], run.ends[inner + 1])))
+        key, size, lead, count, hashes = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.int64),) * 5
+        inner = list_array(np.concatenate([[0], np.cumsum(count)]), hashes, pa.int64())
+        fields = [pa.array(numbers, type=pa.int32()), pa.array(key), pa.array(size.astype(np.int32)), pa.array(lead.astype(np.int32)), inner]
+        lines = pa.StructArray.from_arrays(fields, names=["line_no", "key", "n", "lead", "chunks"])
         return {"id": cols["id"], "source": cols["source"], "lines": pa.ListArray.from_arrays(pa.array(per_doc, type=pa.int32()), lines)}
 
-    return map_arrow(rows, ["id", "source", "text"], "id string, source string, lines array<struct<line_no:int,chunks:array<bigint>>>", work)
+    return map_arrow(rows, ["id", "source", "text"], "id string, source string, lines array<struct<line_no:int,key:bigint,n:int,lead:int,chunks:array<bigint>>>", work)
 
 
-def repeated_lines(df: DataFrame, id_col: str = "id", source: str = "source_archive", text: str = "text", least: int = 3, share: float = 0.05) -> DataFrame:
-    """(id, source, line_no) of each line that recurs in >= ``least`` and >= ``share`` of its source's documents."""
+def _repeated(df: DataFrame, id_col: str, source: str, text: str, least: int, share: float) -> tuple[DataFrame, DataFrame]:
+    """(lines that may recur: id, source, line_no, key), (those that do: source, key, n, lead, anchor)."""
     docs = written(_chunked(df, id_col, source, text), "lines")
     sizes = docs.select("source", "id").distinct().groupBy("source").count().select("source", F.greatest(F.lit(least), F.ceil(F.col("count") * share - 1e-9)).alias("needed"))
     sizes = written(sizes, "sizes")
-    one = docs.select("source", "id", F.array_sort(F.array_distinct(F.flatten("lines.chunks"))).alias("chunks")).distinct()
-    # several deliveries of one id: their chunks count once
-    one = one.groupBy("source", "id").agg(F.array_distinct(F.flatten(F.collect_list("chunks"))).alias("chunks"))
-    often = one.select("source", F.explode("chunks").alias("chunk")).groupBy("source", "chunk").count()
+    often = docs.select("source", F.explode(F.array_distinct(F.flatten("lines.chunks"))).alias("chunk")).groupBy("source", "chunk").count()
     often = written(often.join(sizes, "source").filter(F.col("count") >= F.col("needed")).select("source", "chunk"), "often")
-    lines = docs.select("id", "source", F.inline("lines"))
-    line = ["id", "source", "line_no", "line_key", "n"]
+    anchors = F.slice(F.array_sort(F.array_distinct("chunks")), 1, ANCHORS)
+    lines = docs.select("id", "source", F.inline("lines")).select("id", "source", "line_no", "key", "n", "lead", F.get("chunks", F.lit(0)).alias("anchor"), anchors.alias("anchors"))
+    line = ["id", "source", "line_no", "key", "n", "lead", "anchor"]
     hits = (
-        lines.select("id", "source", "line_no", F.xxhash64("chunks").alias("line_key"), F.size("chunks").alias("n"), F.explode("chunks").alias("chunk"))
+        lines.filter(F.size("anchors") > 0)
+        .select(*line, F.size("anchors").alias("k"), F.explode("anchors").alias("chunk"))
         .join(often, ["source", "chunk"], "left_semi")
-        .groupBy(*line)
+        .groupBy(*line, "k")
         .count()
+        .filter(F.col("count") >= F.col("k"))
     )
-    whole = written(hits.filter(F.col("count") >= F.col("n")).select("id", "source", "line_no", "line_key"), "whole")
-    exact = whole.select("source", "line_key", "id").distinct().groupBy("source", "line_key").count()
-    cases = exact.join(sizes, "source").filter(F.col("count") >= F.col("needed")).select("source", "line_key")
-    return whole.join(cases, ["source", "line_key"]).select("id", "source", "line_no").distinct()
-
-
-def without_repeated_lines(df: DataFrame, id_col: str = "id", source: str = "source_archive", text: str = "text", **options) -> DataFrame:
-    """(id, source, text_clean, n_removed), a row for each distinct delivery with an id; nothing else of a text changes."""
-    cut = repeated_lines(df, id_col, source, text, **options).groupBy("id", "source").agg(F.collect_set("line_no").alias("cut"))
-    rows = df.select(F.col(id_col).cast("string").alias("id"), source_key(F.col(source)).alias("source"), F.col(text).alias("text")).filter(F.col("id").isNotNull()).distinct()
-    parts = F.split("text", "(?<=\n)", -1)
-    kept = F.filter(parts, lambda _, i: ~F.array_contains("cut", i + 1))
-    return rows.join(cut, ["id", "source"], "left").select("id", "source", F.when(F.col("cut").isNull(), F.col("text")).otherwise(F.array_join(kept, "")).alias("text_clean"), F.coalesce(F.size("cut"), F.lit(0)).alias("n_removed"))
+    maybe = written(hits.select(*line).unionByName(lines.filter(F.size("anchors") == 0).select(*line)), "maybe")
+    exact = maybe.select("source", "key", "n", "lead", "anchor", "id").distinct().groupBy("source", "key", "n", "lead", "anchor").count()
+    return maybe, exact.join(sizes, "source").filter(F.col("count") >= F.col("needed")).select("source", "key", "n", "lead", "anchor")
+
+
+def repeated_lines(df: DataFrame, id_col: str = "id", source: str = "source_archive", text: str = "text", least: int = 3, share: float = 0.05) -> DataFrame:
+    """(id, source, line_no) of each line that recurs in >= ``least`` and >= ``share`` of its source's documents."""
+    maybe, cases = _repeated(df, id_col, source, text, least, share)
+    return maybe.join(cases.select("source", "key"), ["source", "key"]).select("id", "source", "line_no").distinct()
+
+
+def _letter_places(line: str) -> list[int]:
+    """Where each letter of ``letters(line)`` stands in the line."""
+    return [k for k, c in enumerate(line) for _ in letters(c)]
+
+
+def _cut(text: str, cases: list[dict]) -> tuple[str, int, int]:
+    """(text without the repeated lines and their copies inside other lines, lines removed, copies removed)."""
+    whole = {c["key"] for c in cases}
+    by_anchor: dict[int, list[dict]] = {}
+    for c in cases:
+        if c["anchor"] is not None:
+            by_anchor.setdefault(c["anchor"], []).append(c)
+    parts = re.split(r"(?<=\n)", text)
+    bare = [letters(p.removesuffix("\n").removesuffix("\r")) for p in parts]
+    run = Chunks("".join(bare))
+    end = np.cumsum([len(b) for b in bare])
+    begin = end - np.array([len(b) for b in bare])
+    keys = run.hashes(begin, end)
+    drop = [bool(b) and k in whole for b, k in zip(bare, keys.tolist())]
+    spans: dict[int, list[tuple[int, int]]] = {}
+    if by_anchor and len(run.ends) > 1:
+        chunk = run.hashes(run.ends[:-1], run.ends[1:])
+        for t in np.flatnonzero(np.isin(chunk, np.fromiter(by_anchor, np.int64, len(by_anchor)))).tolist():
+            k = int(np.searchsorted(end, run.ends[t], side="right"))
+            for c in by_anchor[int(chunk[t])] if k < len(bare) and not drop[k] else ():
+                a = int(run.ends[t]) - c["lead"]
+                if a >= begin[k] and a + c["n"] <= end[k] and run.hashes(np.array([a]), np.array([a + c["n"]]))[0] == c["key"]:
+                    spans.setdefault(k, []).append((a - int(begin[k]), a + c["n"] - int(begin[k])))
+    out, inside = [], 0
+    for k, part in enumerate(parts):
+        if drop[k]:
+            continue
+        if k in spans:
+            at, last = _letter_places(part), len(part)
+            for a, b in sorted(set(spans[k]), reverse=True):
+                if at[b - 1] < last:  # copies that overlap are cut once
+                    part, last, inside = part[: at[a]] + part[at[b - 1] + 1 :], at[a], inside + 1
+        out.append(part)
+    return "".join(out), sum(drop), inside
+
+
+def without_repeated_lines(df: DataFrame, id_col: str = "id", source: str = "source_archive", text: str = "text", least: int = 3, share: float = 0.05) -> DataFrame:
+    """(id, source, text_clean, n_removed, n_inside), a row for each row of ``df`` with an id; nothing else of a text changes.
+
+    ``n_removed`` counts whole lines, ``n_inside`` copies of repeated lines within other lines.
+    """
+    _, cases = _repeated(df, id_col, source, text, least, share)
+    lists = written(cases.groupBy("source").agg(F.collect_set(F.struct("key", "n", "lead", "anchor")).alias("cases")), "cases")  # of a source at most 1 / share lines for each line of its average document
+    rows = _rows(df, id_col, source, text).filter(F.col("id").isNotNull()).join(lists, "source", "left")
+
+    def work(cols: dict) -> dict:
+        done = [(t, 0, 0) if t is None or not cases else _cut(t, cases) for t, cases in zip(cols["text"].to_pylist(), cols["cases"].to_pylist())]
+        texts, removed, inside = zip(*done) if done else ((), (), ())
+        return {"id": cols["id"], "source": cols["source"], "text_clean": list(texts), "n_removed": list(removed), "n_inside": list(inside)}
+
+    return map_arrow(rows, ["id", "source", "text", "cases"], "id string, source string, text_clean string, n_removed int, n_inside int", work)
