@@ -7,6 +7,8 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 U64 = np.uint64
@@ -77,6 +79,21 @@ def map_arrow(df, names: list[str], schema: str, work: Callable[[dict], dict], r
     return df.select(*names).mapInArrow(run, spark_schema)
 
 
+def distinct_items(df: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """``df`` (keys and one text) without repeated rows.
+
+    Only keys and hashes of all rows are counted; the rows that occur more than once are then made
+    distinct by themselves. Where Spark finds these few enough to broadcast, no other text is shuffled.
+    """
+    own = [*keys, "_h1", "_h2"]
+    hashed = df.withColumns({"_h1": F.xxhash64(F.lit(1), text), "_h2": F.xxhash64(F.lit(2), text)})
+    twice = hashed.groupBy(*own).count().filter("count > 1").select(*[F.col(c).alias(f"_twice_{c}") for c in own])
+    same = [F.col(c).eqNullSafe(F.col(f"_twice_{c}")) for c in own]
+    flagged = hashed.join(twice, same, "left").withColumn("_twice", F.col("_twice__h1").isNotNull()).select(*hashed.columns, "_twice")
+    once = flagged.filter("NOT _twice").select(*df.columns)
+    return once.unionByName(flagged.filter("_twice").dropDuplicates(own).select(*df.columns))
+
+
 def list_array(offsets: np.ndarray, values: np.ndarray, kind: pa.DataType) -> pa.Array:
     """An Arrow list column from numpy offsets and values."""
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values, type=kind))

@@ -19,12 +19,16 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITE, map_arrow
+from .common import WHITE, distinct_items, map_arrow
 
 WORD = re.compile(f"[^{WHITE}]+")
-#: Where a node of each level ends, from the top of the tree to its leaves.
+_NAMED = r"(?:chapter|kapitel|chapitre|cap[ií]tulo|part)\b"
+#: Where a node of each level ends, from the top of the tree to its leaves: headings by their depth, named
+#: chapters as the first, rules as the last of them, then paragraphs, lines and list items, sentences,
+#: clauses and words.
 LEVELS = [
-    re.compile(r"\n(?=[ \t]*(?:#{1,6} |<h[1-6]|[=\-*_]{3,}|(?:chapter|kapitel|chapitre|cap[ií]tulo|part)\b))", re.IGNORECASE),
+    *(re.compile(rf"\n(?=[ \t]*(?:#{{1,{depth}}} |<h[1-{depth}]\b|{_NAMED}))", re.IGNORECASE) for depth in range(1, 7)),
+    re.compile(r"\n(?=[ \t]*[=\-*_]{3,})"),
     re.compile(r"\n[ \t\r]*\n\s*|</p>\s*|</div>\s*"),
     re.compile(r"\r?\n|<br ?/?>"),
     re.compile(rf"[.!?…]+[\"'”’»)\]]*[{WHITE}]+|[。！？]+[」』）]*"),
@@ -74,8 +78,11 @@ def pieces(text: str, max_words: int = 350, max_chars: int = 2400, overlap_words
 
 
 def split_items(df: DataFrame, keys: list[str], text: str = "text", **limits) -> DataFrame:
-    """Pieces of every item: keys, piece_no (from 0), n_pieces, piece, overlap, n_words, n_chars."""
-    items = df.select(*keys, F.col(text).alias("_text")).filter(F.col("_text").isNotNull()).distinct()
+    """Pieces of every item: keys, piece_no (from 0), n_pieces, piece, overlap, n_words, n_chars; repeated rows are cut once."""
+    return _split(distinct_items(df.select(*keys, F.col(text).alias("_text")).filter(F.col("_text").isNotNull()), keys, "_text"), keys, **limits)
+
+
+def _split(items: DataFrame, keys: list[str], **limits) -> DataFrame:
     kinds = dict(items.dtypes)
     schema = ", ".join(f"{k} {kinds[k]}" for k in keys) + ", pieces array<struct<piece:string,overlap:int,n_words:int,n_chars:int>>"
 
@@ -88,5 +95,6 @@ def split_items(df: DataFrame, keys: list[str], text: str = "text", **limits) ->
 
 
 def oversized(df: DataFrame, keys: list[str], text: str = "text", **limits) -> DataFrame:
-    """Keys of the items that had to be cut."""
-    return split_items(df, keys, text, **limits).filter((F.col("piece_no") == 0) & (F.col("n_pieces") > 1)).select(*keys).distinct()
+    """Keys of the items that had to be cut; only keys are shuffled."""
+    items = df.select(*keys, F.col(text).alias("_text")).filter(F.col("_text").isNotNull())
+    return _split(items, keys, **limits).filter((F.col("piece_no") == 0) & (F.col("n_pieces") > 1)).select(*keys).distinct()
