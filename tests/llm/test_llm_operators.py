@@ -72,6 +72,29 @@ def test_near_duplicates_match_brute_force(spark):
     assert members[900].rep == members[0].rep == 0
 
 
+def test_groups_are_the_components_of_all_links(spark):
+    """A template with one word changed each, chains of edits, and texts that share a long preface only."""
+    rng = random.Random(12)
+    word = lambda: f"w{rng.randrange(9000)}"
+    base = [word() for _ in range(120)]
+    docs = [" ".join([*base[: (k := rng.randrange(120))], f"edit{i}", *base[k + 1 :]]) for i in range(150)]
+    chain = [word() for _ in range(60)]
+    for i in range(12):
+        chain[5 * i : 5 * i + 5] = [word() for _ in range(5)]
+        docs.append(" ".join(chain))
+    preface = [word() for _ in range(60)]
+    docs += [" ".join(preface + [word() for _ in range(90)]) for _ in range(40)]
+    df = spark.createDataFrame(list(enumerate(docs)), "id bigint, preview string")
+    links = [(r.id_a, r.id_b) for r in near_dup.similar_pairs(df).collect()]
+    root = list(range(len(docs)))
+    find = lambda i: i if root[i] == i else find(root[i])
+    for a, b in links:
+        root[max(find(a), find(b))] = min(find(a), find(b))
+    got = {r.id: r for r in near_dup.groups(df).collect()}
+    assert {i: r.group_id for i, r in got.items()} == {i: find(i) for i in range(len(docs))}
+    assert got[0].group_size == 150 and len(links) >= 150 * 149 // 2
+
+
 def test_near_duplicates_of_nothing(spark):
     none = spark.createDataFrame([], "id bigint, preview string")
     assert near_dup.similar_pairs(none).count() == 0 and near_dup.groups(none).count() == 0

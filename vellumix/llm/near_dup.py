@@ -18,8 +18,11 @@ for pairs that share no variant.
 
 Scale: texts with equal sets of sequences become one class first, so copies meet once however many
 there are; hashes, never texts, go through the wide shuffle, and each variant bucket is joined by
-sort-merge (no list of a bucket is built, AQE splits skewed ones). Only texts in candidate pairs are
-fetched for verification.
+sort-merge (no list of a bucket is built, AQE splits skewed ones). Candidate pairs are verified in
+cells: the classes are dealt into groups of about ``CELL``, a cell holds the pairs of two groups, and
+a text is sent once to each cell in which it has a pair, not once for each pair. ``groups`` needs no
+list of all pairs: each variant bucket is first tied to one representative, and only members that are
+still in different groups are compared with each other afterwards.
 
 Defined cases: null texts and texts of fewer than three words form no pair; null ids are dropped;
 repeated rows count once; an empty table gives no rows; other columns are ignored.
@@ -44,7 +47,7 @@ SIFT_BITS = 42  # of 128; at similarity 0.6 the mean is 25.6, the deviation 4.5
 SMALL, LARGE = 62, 37  # distinct three-word sequences: fewer than SMALL -> family 3, at least LARGE -> family 5
 WORD = re.compile(r"[^\W_]+")
 SIMILARITY = (3, 5)  # 0.6 as a fraction
-BROADCAST_ROWS = 500_000
+CELL = 2000  # classes of a group; a cell has texts of at most about twice as many
 _ODD = mix64(np.arange(1, 400, dtype=U64)) | U64(1)
 
 
@@ -123,35 +126,67 @@ def _variants(classes: DataFrame) -> DataFrame:
     return classes.select("rep", "s1", "s2", F.explode_outer(F.concat(*keys)).alias("key")).filter("key IS NOT NULL")
 
 
-def _similar(text_a: str, text_b: str, memo: dict) -> bool:
-    a, b = (_sequences(np.array([memo[w] for w in WORD.findall(t.lower())], dtype=U64), 3) for t in (text_a, text_b))
+def _similar(a: np.ndarray, b: np.ndarray) -> bool:
     both = len(np.intersect1d(a, b, assume_unique=True))
     return both * SIMILARITY[1] >= (len(a) + len(b) - both) * SIMILARITY[0] and both > 0
 
 
-def class_links(df: DataFrame, id_col: str = "id", text: str = "preview") -> tuple[DataFrame, DataFrame]:
-    """(members: id, rep) of all texts with a sequence, and (links: rep_a, rep_b), rep_a < rep_b, between similar classes."""
+def _classes(df: DataFrame, id_col: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """(classes of texts with equal sets: rep and its prints), (members: id, rep)."""
     own = written(prints(df, id_col, text), "prints")
     classes = own.groupBy("c1", "c2", "n").agg(F.min("id").alias("rep"), F.min_by(F.struct("s1", "s2", "f3", "f5"), "id").alias("p"))
     classes = written(classes.select("c1", "c2", "n", "rep", "p.*"), "classes")
-    members = written(own.select("id", "c1", "c2", "n").join(classes.select("c1", "c2", "n", "rep"), ["c1", "c2", "n"]).select("id", "rep").distinct(), "members")
-    v = _variants(classes)
-    a, b = v.select("key", F.col("rep").alias("rep_a"), F.col("s1").alias("a1"), F.col("s2").alias("a2")), v.select("key", F.col("rep").alias("rep_b"), F.col("s1").alias("b1"), F.col("s2").alias("b2"))
-    near = a.join(b, "key").filter(f"rep_a < rep_b AND bit_count(a1 ^ b1) + bit_count(a2 ^ b2) <= {SIFT_BITS}")
-    pairs = written(near.select("rep_a", "rep_b").distinct(), "pairs")
-    needed = pairs.select(F.explode(F.array("rep_a", "rep_b")).alias("id")).distinct()
-    needed = F.broadcast(needed) if pairs.count() <= BROADCAST_ROWS // 2 else needed
-    texts = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text).alias("text")).join(needed, "id", "left_semi").dropDuplicates(["id"])
-    both = pairs.join(texts.select(F.col("id").alias("rep_a"), F.col("text").alias("text_a")), "rep_a").join(texts.select(F.col("id").alias("rep_b"), F.col("text").alias("text_b")), "rep_b")
-    memo = _Words()
+    members = own.select("id", "c1", "c2", "n").join(classes.select("c1", "c2", "n", "rep"), ["c1", "c2", "n"]).select("id", "rep").distinct()
+    return classes, written(members, "members")
+
+
+SIFT = f"bit_count(a1 ^ b1) + bit_count(a2 ^ b2) <= {SIFT_BITS}"
+
+
+def _side(v: DataFrame, x: str, *more: str) -> DataFrame:
+    return v.select("key", F.col("rep").alias(f"rep_{x}"), F.col("s1").alias(f"{x}1"), F.col("s2").alias(f"{x}2"), *[F.col(c).alias(f"{c}_{x}") for c in more])
+
 
-    def verify(cols: dict) -> dict:
-        good = [_similar(x or "", y or "", memo) for x, y in zip(cols["text_a"].to_pylist(), cols["text_b"].to_pylist())]
-        mask = pa.array(good, type=pa.bool_())
-        return {k: cols[k].filter(mask) for k in ("rep_a", "rep_b")}
+def _verified(df: DataFrame, id_col: str, text: str, pairs: DataFrame, n_classes: int) -> DataFrame:
+    """Those of the written ``pairs`` (rep_a, rep_b) whose texts are similar.
 
-    links = map_arrow(both, ["rep_a", "rep_b", "text_a", "text_b"], "rep_a bigint, rep_b bigint", verify)
-    return members, written(links, "links")
+    Rows of a cell, its texts before its pairs, stand in sequence in one partition and are worked off as
+    they come.
+    """
+    spark = df.sparkSession
+    deal = lambda c: F.pmod(F.xxhash64(F.lit(5), c), F.lit(max(1, n_classes // CELL))).cast("int")
+    placed = pairs.select("rep_a", "rep_b", deal("rep_a").alias("u"), deal("rep_b").alias("v"))
+    needed = placed.select(F.explode(F.array("rep_a", "rep_b")).alias("id"), "u", "v").distinct()
+    texts = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text).alias("text")).join(needed.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"])
+    sent = needed.join(texts, "id").select("u", "v", F.col("id").alias("rep_a"), F.lit(None).cast("bigint").alias("rep_b"), "text")
+    both = sent.unionByName(placed.withColumn("text", F.lit(None).cast("string")))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = both.repartition(parts, "u", "v").sortWithinPartitions("u", "v", F.col("rep_b").asc_nulls_first()).select("u", "v", "rep_a", "rep_b", "text")
+
+    def verify(batches):
+        memo, cell, held = _Words(), None, {}
+        for whole in batches:
+            found: list[tuple[int, int]] = []
+            for u, v, a, b, t in zip(*(c.to_pylist() for c in whole.columns)):
+                if (u, v) != cell:
+                    cell, held = (u, v), {}
+                if b is None:
+                    held[a] = _sequences(np.array([memo[w] for w in WORD.findall(t.lower())], dtype=U64), 3)
+                elif _similar(held[a], held[b]):
+                    found.append((a, b))
+            x, y = zip(*found) if found else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], names=["rep_a", "rep_b"])
+
+    return dealt.mapInArrow(verify, "rep_a bigint, rep_b bigint")
+
+
+def class_links(df: DataFrame, id_col: str = "id", text: str = "preview") -> tuple[DataFrame, DataFrame]:
+    """(members: id, rep) of all texts with a sequence, and (links: rep_a, rep_b), rep_a < rep_b, between similar classes."""
+    classes, members = _classes(df, id_col, text)
+    v = _variants(classes)
+    near = _side(v, "a").join(_side(v, "b"), "key").filter(f"rep_a < rep_b AND {SIFT}")
+    pairs = written(near.select("rep_a", "rep_b").distinct(), "pairs")
+    return members, written(_verified(df, id_col, text, pairs, classes.count()), "links")
 
 
 def similar_pairs(df: DataFrame, id_col: str = "id", text: str = "preview") -> DataFrame:
@@ -183,8 +218,33 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def groups(df: DataFrame, id_col: str = "id", text: str = "preview") -> DataFrame:
-    """(id, rep, group_id, n_links) per text: class of equal texts, smallest id of its group, links of its class to other classes."""
-    members, links = class_links(df, id_col, text)
-    roots = components(members.select(F.col("rep").alias("node")).distinct(), links.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")))
-    degree = links.select(F.explode(F.array("rep_a", "rep_b")).alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("n_links"))
-    return members.join(roots, members.rep == roots.node).join(degree, "rep", "left").select("id", "rep", F.col("root").alias("group_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    """(id, rep, group_id, class_size, group_size) per text: class of equal texts, smallest id of the group of similar classes, and their rows.
+
+    The groups are the connected components of all links, though not all links are listed: a bucket's
+    members are compared with its smallest one first; then, in buckets that still hold several groups,
+    the members outside the bucket's largest group are compared with those of other groups.
+    """
+    classes, members = _classes(df, id_col, text)
+    n = classes.count()
+    v = written(_variants(classes), "variants")
+    heads = v.groupBy("key").agg(F.min("rep").alias("rep"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    heads = v.join(heads.select("key", "rep"), ["key", "rep"], "left_semi")
+    near = _side(heads, "a").join(_side(v, "b"), "key").filter(f"rep_a < rep_b AND {SIFT}")
+    tied = written(_verified(df, id_col, text, written(near.select("rep_a", "rep_b").distinct(), "pairs"), n), "tied")
+    nodes = classes.select(F.col("rep").alias("node"))
+    roots = components(nodes, tied.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")))
+    w = v.join(roots.withColumnRenamed("node", "rep"), "rep")
+    by_root = w.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
+    mixed = by_root.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count(F.lit(1)).alias("k")).filter("k > 1").select("key", "main")
+    w = written(w.join(mixed, "key"), "mixed")
+    # of two members in different groups at least one is outside the main group: it asks, of two such ones the smaller
+    asks, all_ = _side(w.filter("root <> main"), "a", "root"), _side(w, "b", "root").join(mixed.withColumnRenamed("main", "main_b"), "key")
+    rest = asks.join(all_, "key").filter(f"root_a <> root_b AND (root_b = main_b OR rep_a < rep_b) AND {SIFT}")
+    rest = written(rest.select(F.least("rep_a", "rep_b").alias("rep_a"), F.greatest("rep_a", "rep_b").alias("rep_b")).distinct(), "rest")
+    more = written(_verified(df, id_col, text, rest, n), "more")
+    both = tied.unionByName(more)
+    roots = components(nodes, both.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")))
+    sizes = members.groupBy("rep").agg(F.count(F.lit(1)).alias("class_size"))
+    per_class = written(sizes.join(roots.withColumnRenamed("node", "rep"), "rep"), "roots")
+    per_group = per_class.groupBy("root").agg(F.sum("class_size").alias("group_size"))
+    return members.join(per_class.join(per_group, "root"), "rep").select("id", "rep", F.col("root").alias("group_id"), "class_size", "group_size")
