@@ -245,7 +245,7 @@ def test_capping_of_little(spark):
 
 # ---------------------------------------------------------------- 5
 TERMS = [("scumbag", 3), ("drop dead", 3), ("nude", 2), ("imbecile", 2), ("fool", 1)]
-SPELLED = ["scumbag", "Scumbags!", "s c u m b a g", "s.c.u.m.b.a.g", "scumb@g", "5cumb4g", "scummmbag", "scum​bag", "ѕcumbаg", "ｓｃｕｍｂａｇ", "scúmbag", "sc*mbag", "drop\ndead", "drop-dead", "drop  dead", "DR0P D3AD", "<i>nu</i>de", "&quot;nude&quot;", "!mb3c!l3"]
+SPELLED = ["scumbag", "Scumbags!", "s c u m b a g", "s.c.u.m.b.a.g", "scumb@g", "5cumb4g", "scummmbag", "scum​bag", "ѕcumbаg", "ｓｃｕｍｂａｇ", "scúmbag", "sc*mbag", "drop\ndead", "drop-dead", "drop  dead", "DR0P D3AD", "<i>nu</i>de", 'sc<a href="https://tales.example/archive/2011/story/an-older-part-of-the-tale.html">um</a>bag', "s·c·u·m·b·a·g", "s/c/u/m/b/a/g", "d-r-o-p d-e-a-d", "&quot;nude&quot;", "!mb3c!l3"]
 CLEAN = ["denuded hills", "a scumbagger", "drop. Dead leaves fell", "fool", "the nudel soup", "imbecilesque", "", PROSE]
 
 
@@ -273,6 +273,10 @@ def test_screen_finds_spellings(spark):
     assert safety.unsafe_ids(df, terms.filter("severity < 2")).count() == 0
 
 
+def test_features_of_whole_tokens():
+    assert safety.buckets("x" * 45 + "abc") != safety.buckets("x" * 45 + "def")
+
+
 def test_scorer_equals_the_plain_forward_pass():
     model = safety.Classifier(2)
     score = safety.Scorer(model)

@@ -7,11 +7,12 @@ three widths slide over a segment of tokens, the maximum of each filter is poole
 layer gives the segment's score; a text has the score of its worst segment. Thresholds are set for
 each language so that held-out cases in text of that language pass.
 
-The classifier is fitted on a bounded sample (``TRAIN_TEXTS`` texts, chosen by a hash of the id):
-terms in many spellings are written into lines of it, against lines without any, lines with words
+The classifier is fitted on a bounded sample (``TRAIN_TEXTS`` texts, chosen by a hash of the id, and
+``TRAIN_LINES`` runs of words, spread over the whole of each): terms in many spellings are written into lines of it, against lines without any, lines with words
 that merely contain a term, with parts of phrases and with terms of severity 1. Every text is
 scored, whole. Texts that reach the threshold of their language are then checked for the terms
-letter by letter; the others have no case.
+letter by letter; the others have no case. ``flagged`` is the verdict of the score alone, at the
+threshold that separates held-out lines with a term from held-out lines without one best.
 
 Defined cases: null texts have no score and are not reported; empty texts score lowest; null ids
 are dropped; repeated deliveries give one id; without any term of severity 2 or 3 nothing is
@@ -34,15 +35,15 @@ from .confusables import SHAPES
 from .line_dedup import source_key
 from .text_stats import guess_language
 
-TRAIN_TEXTS, SEGMENT, OVERLAP = 1500, 32, 6
+TRAIN_TEXTS, TRAIN_LINES, SEGMENT, OVERLAP = 1500, 12_000, 32, 6
 BUCKETS, DIM, FILTERS, WIDTHS = 8192, 16, 16, (1, 2, 3)
-MARGIN = 1.5
+MARGIN = 2.5
 LEAST_STEPS = 350  # of training, however few the terms
 
 #: Characters that stand for letters.
 STANDS_FOR = {"a": "4@", "b": "8", "c": "(", "e": "3€", "g": "96", "i": "1!|", "l": "1!|", "o": "0", "q": "9", "s": "5$", "t": "7+", "z": "2"}
 MASKS = "*#"
-TAG = re.compile(r"</?[a-z][^<>]{0,60}>", re.IGNORECASE)
+TAG = re.compile(r"</?[a-z][^<>]*>", re.IGNORECASE)
 _LOOK = {ord(a): b for a, b in SHAPES.items()}
 _LIKE = re.compile("[" + "".join(SHAPES) + "]")
 _UNMARKED = re.compile("[" + "".join(chr(c) for c in range(0x80, 0x10000) if unicodedata.combining(chr(c)) or unicodedata.category(chr(c)) == "Cf" or 0xFE00 <= c <= 0xFE0F) + "]+")
@@ -62,6 +63,8 @@ def plain(text: str) -> str:
 
 
 # ---------------------------------------------------------------- letter by letter
+#: What may stand between letters written apart.
+APART = r"[ ._\-*·/|]"
 GAP = r"(?:[ \t]{1,4}\n?[ \t]*|\n[ \t]*|[-_.])"
 
 
@@ -78,7 +81,7 @@ def term_pattern(terms: list[str]) -> re.Pattern | None:
     for term in sorted({plain(t).strip() for t in terms} - {""}):
         words = term.split()
         joined = GAP.join("".join(letter(c) + "+" for c in w) for w in words) + "(?:[e3]?[s5$]+)?"
-        apart = GAP.join(r"[ ._\-*·/|]".join(letter(c) for c in w) for w in words)
+        apart = GAP.join(APART.join(letter(c) for c in w) for w in words)
         first = letter(term[0])
         groups.setdefault(first, []).extend([first + "*" + joined[len(first) + 1 :], apart[len(first) :]])
     return re.compile(r"(?<![^\W_])(?:" + "|".join(f"{first}(?:{'|'.join(forms)})" for first, forms in groups.items()) + r")(?![^\W_])")
@@ -97,7 +100,7 @@ def holds_term(text: str, pattern: re.Pattern) -> bool:
 
 
 # ---------------------------------------------------------------- tokens
-SPACED = re.compile(r"(?<![^\W_])(?:[^\W_][ ._\-]){3,}[^\W_](?![^\W_])")
+SPACED = re.compile(rf"(?<![^\W_])(?:[^\W_]{APART}){{3,}}[^\W_](?![^\W_])")
 TOKEN = re.compile(r"[^\s\-_./\"“”«»„,;:()\[\]]+")
 _FOLD = str.maketrans({d: c for c, ds in STANDS_FOR.items() for d in ds} | {"1": "i", "!": "i", "|": "i", "l": "i", "9": "g", "#": "*"})
 RUN = re.compile(r"(.)\1+")
@@ -111,12 +114,12 @@ def fold_token(token: str) -> str:
 
 def raw_tokens(text: str) -> list[str]:
     """Tokens of a plain text; letters written apart count as one token."""
-    return TOKEN.findall(SPACED.sub(lambda m: re.sub(r"[ ._\-]", "", m[0]), text))
+    return TOKEN.findall(SPACED.sub(lambda m: re.sub(APART, "", m[0]), text))
 
 
 def buckets(token: str) -> list[int]:
     """Hashed features of a folded token: itself and its letter trigrams."""
-    padded = f"<{token[:40]}>"
+    padded = f"<{token}>"
     return [xxhash.xxh32_intdigest(x) % BUCKETS for x in dict.fromkeys([padded, *(padded[i : i + 3] for i in range(len(padded) - 2))])]
 
 
@@ -131,6 +134,7 @@ class Classifier:
             self.p[f"b{w}"] = np.zeros(FILTERS)
         self.p = {k: v.astype(np.float32) for k, v in self.p.items()}
         self.thresholds: dict[str, float] = {}
+        self.verdict = 0.0
 
     def embed(self, tokens: list[str]) -> np.ndarray:
         return np.array([self.p["H"][buckets(t)].mean(axis=0) for t in tokens], np.float32).reshape(-1, DIM)
@@ -264,8 +268,8 @@ def spellings(term: str, rng: np.random.Generator) -> list[str]:
     for i in letters:
         out.append(term[:i] + MASKS[rng.integers(2)] + term[i + 1 :])
         out.append(term[:i] + term[i] * int(rng.integers(2, 6)) + term[i + 1 :])
-    if " " not in term:
-        out += [s.join(term) for s in " .-_"] + ["a " + " ".join(term)]
+    # letters apart, by each mark; of several words each by itself
+    out += [" ".join(s.join(w) for w in term.split()) for s in " .-_*·/|"] + ["a " + " ".join(term)]
     return out
 
 
@@ -279,7 +283,8 @@ def train(texts: list[str], terms: list[str], mild: list[str], seed: int = 3) ->
         clean = plain(text)
         language = guess_language(clean)
         words = clean.split()
-        for k in range(0, min(len(words), 160), 22):
+        starts = list(range(0, len(words), 22))
+        for k in rng.permutation(starts)[: max(1, TRAIN_LINES // max(1, len(texts)))].tolist() if starts else ():
             piece = words[k : k + 22]
             if not holds_term(" ".join(piece), pattern):
                 lines.append((language, piece))
@@ -310,7 +315,14 @@ def train(texts: list[str], terms: list[str], mild: list[str], seed: int = 3) ->
         own = [k for k, (lang, _) in enumerate(lines) if lang == language] or range(len(lines))
         tried = [[t for t in written(s, own[i % len(own)])[1]] for t in terms for i, s in enumerate(spellings(t, rng))]
         lowest[language] = float(np.quantile(score.scores(tried), 0.002))
-    floor = float(np.quantile(score.scores([w for _, w in held]), 0.002))
+    held_scores = score.scores([w for _, w in held])
+    floor = float(np.quantile(held_scores, 0.002))
+    # the verdict of the score alone: fewest errors on lines that took no part in the training
+    plain_lines = [[fold_token(t) for t in raw_tokens(" ".join(w))][:SEGMENT] for _, w in (lines[i] for i in rng.permutation(len(lines))[: 2 * len(held)])]
+    clean = np.sort(score.scores(plain_lines + [w for _, w in (written(x) for x in decoys) if w]))
+    cuts = np.quantile(np.concatenate([held_scores, clean]), np.linspace(0, 1, 400))
+    errors = [(held_scores < c).mean() + 3 * (clean >= c).mean() for c in cuts]  # a text has many lines, so a false alarm weighs more
+    model.verdict = float(cuts[int(np.argmin(errors))])
     model.thresholds = {k: min(v, floor) - MARGIN for k, v in lowest.items()} | {"": min(floor, *lowest.values()) - MARGIN}
     return model
 
@@ -328,17 +340,17 @@ def _fitted(df: DataFrame, id_col: str, text: str, terms: DataFrame) -> tuple[Cl
 
 
 def scored(df: DataFrame, terms: DataFrame, id_col: str = "id", text: str = "text", source: str | None = "source_archive", all_languages: bool = True) -> DataFrame:
-    """(id, source, language, score, candidate, unsafe) of every row with a text.
+    """(id, source, language, score, flagged, candidate, unsafe) of every row with a text.
 
-    ``score`` is the classifier's, ``language`` a guess (without ``all_languages`` only for texts that may
+    ``score`` is the classifier's, ``flagged`` its verdict, ``language`` a guess (without ``all_languages`` only for texts that may
     be candidates), ``candidate`` tells whether it reaches the threshold of the
     language, ``unsafe`` whether the candidate holds a term.
     """
     rows = df.select(F.col(id_col).cast("string").alias("id"), (source_key(F.col(source)) if source else F.lit(None).cast("string")).alias("source"), F.col(text).alias("text")).filter(F.col("id").isNotNull() & F.col("text").isNotNull())
-    schema = "id string, source string, language string, score double, candidate boolean, unsafe boolean"
+    schema = "id string, source string, language string, score double, flagged boolean, candidate boolean, unsafe boolean"
     model, strong = _fitted(df, id_col, text, terms)
     if model is None:
-        return rows.select("id", "source", F.lit("und").alias("language"), F.lit(-30.0).alias("score"), F.lit(False).alias("candidate"), F.lit(False).alias("unsafe"))
+        return rows.select("id", "source", F.lit("und").alias("language"), F.lit(-30.0).alias("score"), F.lit(False).alias("flagged"), F.lit(False).alias("candidate"), F.lit(False).alias("unsafe"))
     shared = df.sparkSession.sparkContext.broadcast(model)  # under 1 MB, by its fixed sizes
     held: list = []
 
@@ -352,7 +364,7 @@ def scored(df: DataFrame, terms: DataFrame, id_col: str = "id", text: str = "tex
         language = [guess_language(t) if all_languages or s >= lowest else None for s, t in zip(score, texts)]
         candidate = [bool(s >= limits.get(lang, limits[""])) for s, lang in zip(score, language)]
         unsafe = [c and holds_term(t, held[1]) for c, t in zip(candidate, texts)]
-        return {"id": cols["id"], "source": cols["source"], "language": language, "score": score, "candidate": candidate, "unsafe": unsafe}
+        return {"id": cols["id"], "source": cols["source"], "language": language, "score": score, "flagged": score >= shared.value.verdict, "candidate": candidate, "unsafe": unsafe}
 
     return map_arrow(rows, ["id", "source", "text"], schema, work)
 
