@@ -74,8 +74,3 @@ def word_frequency(df: DataFrame, text: str, limit: int) -> DataFrame:
     """The most frequent words; equal counts are ordered by the word."""
     return df.select(F.explode_outer(words(text_or_empty(F.col(text)))).alias("word")).filter("word IS NOT NULL").groupBy("word").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "word").limit(limit)
 
-
-def upper_median(c: Column) -> Column:
-    """The element at half the length of the sorted values, without interpolation."""
-    ordered = F.sort_array(F.collect_list(c))
-    return F.element_at(ordered, (F.floor(F.size(ordered) / 2) + 1).cast("int"))

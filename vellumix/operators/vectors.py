@@ -12,6 +12,8 @@ from vellumix.functions.text import let
 
 #: Bytes of queries that may go to every task; more are answered in several passes.
 QUERY_BYTES = 32 << 20
+#: Similarities that a task holds at once.
+TILE = 4 << 20
 
 
 def problem_of(vector: Column, dim: int) -> Column:
@@ -76,20 +78,31 @@ def top_k(items: DataFrame, queries: DataFrame, id_col: str, vector: str, k: int
         q = q / np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-300)
 
         def best(batches, ids=ids, q=q):
-            kept: list[tuple] = [(np.zeros((len(q), 0)), np.zeros((len(q), 0), np.int64))]
+            s, i = np.full((len(q), k), -9.0), np.zeros((len(q), k), np.int64)
             for batch in batches:
                 own = np.asarray(batch.column(0))
                 x = _matrix(batch.column(1), dim)
-                for a in range(0, len(x), 4096):
-                    sims = np.round(q @ x[a : a + 4096].T, 12)
-                    names = np.broadcast_to(own[a : a + 4096], sims.shape)
-                    if exclude_self:
-                        sims = np.where(names == ids[:, None], -9.0, sims)
-                    s, i = np.concatenate([kept[0][0], sims], axis=1), np.concatenate([kept[0][1], names], axis=1)
-                    order = np.lexsort((i, -s), axis=1)[:, :k]
-                    kept = [(np.take_along_axis(s, order, axis=1), np.take_along_axis(i, order, axis=1))]
-            s, i = kept[0]
-            who = np.repeat(ids, s.shape[1])
+                for a in range(0, len(x), 1024):
+                    part, names = x[a : a + 1024], own[a : a + 1024]
+                    for c in range(0, len(q), TILE // 1024):
+                        at = slice(c, c + TILE // 1024)
+                        sims = np.round(q[at] @ part.T, 12)
+                        if exclude_self:
+                            sims[names[None, :] == ids[at, None]] = -9.0
+                        # only what reaches the k-th so far can enter; equal ones are decided by their ids
+                        row, col = np.nonzero((sims >= s[at, -1:]) & (sims > -5))
+                        if not len(row):
+                            continue
+                        hit = np.unique(row)
+                        rows = np.concatenate([np.repeat(hit, k), row])
+                        both = np.concatenate([s[at][hit].ravel(), sims[row, col]])
+                        who = np.concatenate([i[at][hit].ravel(), names[col]])
+                        order = np.lexsort((who, -both, rows))
+                        rows, both, who = rows[order], both[order], who[order]
+                        first = np.searchsorted(rows, hit)
+                        best_k = first[:, None] + np.arange(k)
+                        s[c + hit], i[c + hit] = both[best_k], who[best_k]
+            who = np.repeat(ids, k)
             good = s.ravel() > -5
             yield pa.RecordBatch.from_arrays([pa.array(who[good]), pa.array(i.ravel()[good]), pa.array(s.ravel()[good])], names=["query_id", "id", "score"])
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zipfile
@@ -16,23 +17,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The table ``name``, spread over the cores if its files are fewer.
+    """The table ``name``, spread over the cores if it has fewer splits.
 
-    Work on texts is bound by CPU. A small table in one file would be read, and so worked on, by one
-    task; larger tables have more splits than cores and are left as they are.
+    Work on texts is bound by CPU, and a table of one split would be worked on by one task. A split has
+    at most ``spark.sql.files.maxPartitionBytes``, so what is moved here is bounded by that for each core;
+    larger tables have more splits than cores and are left as they are.
     """
     df = table(spark, sf_dir, name)
     cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder that all executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only where the session names none (single-machine tests) a temporary folder is set instead.
+    Only where the session names none and runs on one machine (tests) a temporary folder is set instead;
+    on a cluster that would lose data, so it is an error.
     """
     set_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not set_dir:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         set_dir = "file://" + tempfile.mkdtemp(prefix="vellumix-")
         spark.conf.set("spark.checkpoint.dir", set_dir)
     return set_dir.rstrip("/")
