@@ -90,6 +90,36 @@ def test_ingest_is_idempotent(spark, tmp_path):
     assert job.report(spark).first() == third
 
 
+def test_copies_are_found_across_batches(spark, tmp_path):
+    source = str(tmp_path / "in")
+    job = Ingest(str(tmp_path / "out"), files_per_batch=1)
+    words = [f"word{k}" for k in range(120)]
+    base, near = " ".join(words), " ".join([*words[:60], "changed", *words[61:]])
+    batches = [[("20", base), ("21", "another text of the first batch")], [("5", near), ("6", base), ("7", "a new text " + near.upper()), ("-8", "its own words only")], [("1", near), ("30", "its own  WORDS only")]]
+    for rows in batches:
+        _rows(spark, rows).coalesce(1).write.mode("append").parquet(source)
+        job.run(spark, source, SCHEMA)
+    state = lambda: {r.id: (r.is_canonical, r.dup_of) for r in spark.read.parquet(job.catalog).collect()}
+    want = {20: (1, None), 21: (1, None), 5: (0, 20), 6: (0, 20), 7: (0, 20), -8: (1, None), 1: (0, 20), 30: (0, -8)}
+    assert state() == want
+    job.batch(_rows(spark, batches[1]), 1)  # a batch that runs again changes nothing
+    assert state() == want
+    assert job.unprocessed(spark, source, SCHEMA).count() == 0
+    _rows(spark, [("99", "late"), ("5", near)]).coalesce(1).write.mode("append").parquet(source)
+    assert [r.id for r in job.unprocessed(spark, source, SCHEMA).collect()] == ["99"]
+
+
+def test_chunk_files_hold_whole_documents_in_order(spark, tmp_path):
+    rows = spark.createDataFrame([(i, k, f"t{i}-{k}") for i in range(30) for k in (3, 1, 2)], "id bigint, chunk_id int, text string")
+    path = str(tmp_path / "chunks")
+    writers.write_chunks(rows, path)
+    files = [[json.loads(x) for x in (tmp_path / "chunks" / f).read_text().splitlines()] for f in os.listdir(path) if f.endswith(".json")]
+    assert sorted((r["id"], r["chunk_id"]) for f in files for r in f) == [(i, k) for i in range(30) for k in (1, 2, 3)]
+    for f in files:
+        assert [(r["id"], r["chunk_id"]) for r in f] == sorted((r["id"], r["chunk_id"]) for r in f)
+    assert len({(r["id"], n) for n, f in enumerate(files) for r in f}) == 30
+
+
 def test_a_failed_batch_is_taken_again(spark, tmp_path, monkeypatch):
     source = str(tmp_path / "in")
     _rows(spark, [("1", "one text")]).write.parquet(source)

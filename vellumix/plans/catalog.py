@@ -17,12 +17,18 @@ SCAN_CHARS = {"header": 3000, "density": 15_000, "preview": 8_000}
 SHINGLE_WORDS = 5
 
 
-def profiled(docs: DataFrame, rules: RuleSet = DEFAULT, entities: bool = True) -> DataFrame:
-    """Documents (id, title, author, text, tags, ...) with clean text, verdict, metrics, quality, taxonomy and narration.
+def cleaned(docs: DataFrame, entities: bool = True) -> DataFrame:
+    """Documents (id, title, author, text, tags, ...) with ``clean`` in place of the raw text."""
+    return docs.withColumn("clean", clean_text(F.col("text"), SCAN_CHARS["header"], entities)).drop("text")
 
-    One narrow chain: no shuffle, every document on its own.
+
+def profiled(docs: DataFrame, rules: RuleSet = DEFAULT) -> DataFrame:
+    """Cleaned documents with verdict, metrics, quality, taxonomy and narration.
+
+    One narrow chain: no shuffle, every document on its own. ``docs`` should be a written table: an
+    expression that many others use, as ``clean`` is, would else be computed again in each of them.
     """
-    out = docs.withColumn("clean", clean_text(F.col("text"), SCAN_CHARS["header"], entities))
+    out = docs
     out = with_verdict(out, "clean", "tags", rules)
     out = with_metrics(out, "clean", SCAN_CHARS["density"])
     out = with_quality(out, "clean")
@@ -45,11 +51,11 @@ def catalog_rows(profiled_docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFr
     )
 
 
-def build(docs: DataFrame, least: float = 0.8) -> DataFrame:
-    """Catalogue rows with is_canonical and dup_of, which are decided on the whole clean texts."""
-    rows = written(catalog_rows(profiled(docs), ("clean",)), "catalog")  # the chain runs once, not again for the duplicates
-    choice = deduplicated(rows.select("id", "clean"), "id", "clean", least, SHINGLE_WORDS).select("id", F.col("is_canonical").cast("int").alias("is_canonical"), "dup_of")
-    return rows.drop("clean").join(choice, "id")
+def build(docs: DataFrame, least: float = 0.8, full_text: bool = False) -> DataFrame:
+    """Catalogue rows with is_canonical and dup_of, which are decided on the whole clean texts; with ``full_text`` these stay, as ``clean``."""
+    texts = written(cleaned(docs), "clean")
+    choice = deduplicated(texts, "id", "clean", least, SHINGLE_WORDS).select("id", F.col("is_canonical").cast("int").alias("is_canonical"), "dup_of")
+    return catalog_rows(profiled(texts), ("clean",) * full_text).join(choice, "id")
 
 
 def audit(catalog: DataFrame) -> DataFrame:

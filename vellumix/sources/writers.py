@@ -26,8 +26,13 @@ def write_jsonl(df: DataFrame, path: str) -> None:
 
 
 def write_chunks(chunks: DataFrame, path: str) -> None:
-    """Chunk files by document; a full overwrite, so that none of an earlier run stays behind."""
-    chunks.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("id").json(path)
+    """Chunk files, the chunks of a document in order in one file; a full overwrite, so that none of an earlier run stays behind.
+
+    Documents are dealt by a hash of the id into as many files as there are shuffle partitions; the id
+    is a column of the rows, as a directory for each document would not scale.
+    """
+    ordered = chunks.repartition(F.col("id")).sortWithinPartitions("id", "chunk_id")
+    ordered.write.mode("overwrite").option("partitionOverwriteMode", "static").json(path)
 
 
 def ensure(spark: SparkSession, path: str, schema: str) -> None:
