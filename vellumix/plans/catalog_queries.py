@@ -155,10 +155,10 @@ def label_totals(s, d):
     return per.groupBy("etype", "label").agg(F.sum("k").alias("n"), F.count(F.lit(1)).alias("stories"))
 
 
-@q("story_texts", "SELECT s.id, coalesce(length(r.text), length(s.preview), 0)::INT AS n_chars FROM stories s LEFT JOIN (SELECT try_cast(id AS BIGINT) AS id, max(text) AS text FROM raw_stories GROUP BY 1) r ON r.id = s.id")
+@q("story_texts", "SELECT s.id, md5(coalesce(r.text, s.preview, '')) AS text_md5 FROM stories s LEFT JOIN (SELECT try_cast(id AS BIGINT) AS id, max(text) AS text FROM raw_stories GROUP BY 1) r ON r.id = s.id")
 def story_texts(s, d):
     whole = table(s, d, "raw_stories").select(F.col("id").try_cast("bigint").alias("id"), "text").groupBy("id").agg(F.max("text").alias("full_text"))
-    return facets.with_full_text(_cat(s, d).select("id", "preview"), whole).select("id", F.length("text").alias("n_chars"))
+    return facets.with_full_text(_cat(s, d).select("id", "preview"), whole).select("id", F.md5("text").alias("text_md5"))
 
 
 # ---------------------------------------------------------------- TF-IDF, vectors, semantics
@@ -173,11 +173,11 @@ def tfidf_vocab(s, d):
     return tfidf.vocabulary(texts(s, d, "documents"), "text").select("term", "df", "idx", F.round("idf", 6).alias("idf"))
 
 
-@q("tfidf_weights", f"WITH {WEIGHTS} SELECT doc_id AS id, count(*) AS n_terms, round(sum(w), 3) AS total FROM u GROUP BY 1")
+@q("tfidf_weights", f"WITH {WEIGHTS} SELECT doc_id AS id, idx::INT AS idx, w AS weight FROM u")
 def tfidf_weights(s, d):
     docs = texts(s, d, "documents")
     w = tfidf.weights(docs, "doc_id", "text", written(tfidf.vocabulary(docs, "text"), "vocab"))
-    return w.groupBy("id").agg(F.count(F.lit(1)).alias("n_terms"), F.round(F.sum("w"), 3).alias("total"))
+    return w.select("id", F.col("idx").cast("int").alias("idx"), F.col("w").alias("weight"))
 
 
 QUERY = "the lighthouse by the harbour and the cook"
@@ -204,11 +204,11 @@ def vector_problems(s, d):
     return table(s, d, "chunk_vectors").select("id", "chunk_index", why.alias("problem"), F.xxhash64("embedding").alias("h")).distinct().groupBy("problem").agg(F.count(F.lit(1)).alias("n"))
 
 
-@q("vector_normalize", "WITH n AS (SELECT vec_id, embedding::DOUBLE[] AS e, sqrt(list_sum(list_transform(embedding::DOUBLE[], lambda x: x * x))) AS norm FROM embeddings) SELECT vec_id, round(norm, 5) AS norm, round(e[1] / norm, 5) AS first, round(e[64] / norm, 5) AS last FROM n")
+@q("vector_normalize", "WITH n AS (SELECT vec_id, embedding::DOUBLE[] AS e, sqrt(list_sum(list_transform(embedding::DOUBLE[], lambda x: x * x))) AS norm FROM embeddings) SELECT vec_id, round(norm, 5) AS norm, array_to_string(list_transform(e, lambda x: round(x / norm * 100000)::BIGINT), ',') AS unit FROM n")
 def vector_normalize(s, d):
     v = F.transform("embedding", lambda x: x.cast("double"))
     norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x))
-    return table(s, d, "embeddings").select("vec_id", F.round(norm, 5).alias("norm"), vectors.normalized(F.col("embedding")).alias("u")).select("vec_id", "norm", F.round(F.get("u", F.lit(0)), 5).alias("first"), F.round(F.get("u", F.lit(63)), 5).alias("last"))
+    return table(s, d, "embeddings").select("vec_id", F.round(norm, 5).alias("norm"), F.array_join(F.transform(vectors.normalized(F.col("embedding")), lambda x: F.round(x * 100000).cast("bigint").cast("string")), ",").alias("unit"))
 
 
 _KNN = "WITH p AS (SELECT q.vec_id AS query_id, b.vec_id AS id, list_cosine_similarity(q.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS s FROM embeddings q JOIN embeddings b ON {0} q.vec_id <> b.vec_id), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(s, 12) DESC, id)::INT AS rank FROM p) SELECT query_id, id, rank, round(s, 6) AS score FROM r WHERE rank <= 10"
@@ -237,14 +237,14 @@ def hit_details(s, d):
     return facets.hit_details(hits, _cat(s, d).select("id", "title", "quality_tier")).select("rank", "id", "title", "quality_tier")
 
 
-@q("zipped_chunks", "SELECT DISTINCT t.id, t.chunk_index::INT AS chunk_index, length(t.text)::INT AS n_chars, len(v.embedding)::INT AS dim FROM chunk_texts t JOIN chunk_vectors v ON t.id = v.id AND t.chunk_index = v.chunk_index WHERE len(v.embedding) > 0 AND t.text IS NOT NULL")
+@q("zipped_chunks", "SELECT DISTINCT t.id, t.chunk_index::INT AS chunk_index, md5(t.text) AS text_md5, len(v.embedding)::INT AS dim, round(list_sum(list_transform(v.embedding, lambda x: CASE WHEN isfinite(x) THEN x::DOUBLE ELSE 0 END)), 4) AS total FROM chunk_texts t JOIN chunk_vectors v ON t.id = v.id AND t.chunk_index = v.chunk_index WHERE len(v.embedding) > 0 AND t.text IS NOT NULL")
 def zipped_chunks(s, d):
     keys = ["id", "chunk_index"]
     t = table(s, d, "chunk_texts").filter("text IS NOT NULL").select(*keys, "text").dropDuplicates(keys)
     v = table(s, d, "chunk_vectors").select(*keys, "embedding").dropDuplicates(keys)
     rows = t.join(v, keys).select(*keys, F.array("text").alias("texts"), F.array("embedding").alias("vectors"))
     flat = vectors.zipped(rows.withColumnRenamed("chunk_index", "ci"), "texts", "vectors", ["id", "ci"], skip_empty=True)
-    return flat.select("id", F.col("ci").cast("int").alias("chunk_index"), F.length("chunk_text").alias("n_chars"), F.size("embedding").alias("dim"))
+    return flat.select("id", F.col("ci").cast("int").alias("chunk_index"), F.md5("chunk_text").alias("text_md5"), F.size("embedding").alias("dim"), F.round(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + F.when(F.isnan(x) | (F.abs(x) == float("inf")), 0.0).otherwise(F.coalesce(x.cast("double"), F.lit(0.0)))), 4).alias("total"))
 
 
 @q("keyset_page", "SELECT id, title FROM stories WHERE id > (SELECT min(id) FROM stories) ORDER BY id LIMIT 100")

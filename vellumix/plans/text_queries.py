@@ -39,7 +39,7 @@ def quoted_list(words) -> str:
     return "(" + ", ".join(f"'{w}'" for w in words) + ")"
 
 
-WHOLE, HEAD = "coalesce(text, '') AS t", "substr(coalesce(text, ''), 1, 500) AS t"
+WHOLE, HEAD = "coalesce(text, '') AS t", "substr(coalesce(text, ''), 1, 15000) AS t"
 DOCS = f"d AS (SELECT *, {WHOLE} FROM documents)"
 METRICS = rf"""{DOCS},
 w AS (SELECT *, regexp_extract_all(lower(t), '{TOKEN}') AS ws,
@@ -98,7 +98,7 @@ def text_metrics(s, d):
 @q("windowed_density", f"WITH {METRICS.replace(WHOLE, HEAD)} SELECT doc_id, ttr, sensory_density, marked_density FROM m")
 def windowed_density(s, d):
     """Over the window of its SQL, by the operator's own parameter; ``text_metrics`` has the same values of whole texts."""
-    return metrics.with_metrics(_docs(s, d), "text", scan_chars=500).select("doc_id", "metrics.ttr", "metrics.sensory_density", "metrics.marked_density")
+    return metrics.with_metrics(_docs(s, d), "text", scan_chars=catalog.SCAN_CHARS["density"]).select("doc_id", "metrics.ttr", "metrics.sensory_density", "metrics.marked_density")
 
 
 @q("word_frequency_topk", f"SELECT word, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), '{TOKEN}')) AS word FROM documents) GROUP BY word ORDER BY n DESC, word LIMIT 100")
@@ -186,11 +186,11 @@ def exact_duplicates(s, d):
     return dedup.exact_copies(_docs(s, d), "doc_id", "text")
 
 
-@q("cluster_members", f"WITH h AS (SELECT doc_id, {HASH} AS hash FROM documents), c AS (SELECT min(doc_id) AS cluster_id, count(*) AS n_members, string_agg(doc_id, ',' ORDER BY doc_id) AS members FROM h WHERE hash <> '' GROUP BY hash) SELECT * FROM c WHERE n_members > 1")
+@q("cluster_members", f"WITH h AS (SELECT doc_id, {HASH} AS hash FROM documents), c AS (SELECT hash, min(doc_id) AS cluster_id, count(*) AS n_members FROM h WHERE hash <> '' GROUP BY hash) SELECT cluster_id, n_members, doc_id AS member FROM h JOIN c USING (hash) WHERE n_members > 1")
 def cluster_members(s, d):
+    """A row for each member: a list of them would be one unbounded row for a text that a third of the rows share."""
     copies = dedup.exact_copies(_docs(s, d), "doc_id", "text").filter("cluster_size > 1")
-    ids = F.array_join(F.transform(F.array_sort(F.collect_list("id")), lambda x: x.cast("string")), ",")
-    return copies.groupBy(F.coalesce("dup_of", "id").alias("cluster_id")).agg(F.count(F.lit(1)).alias("n_members"), ids.alias("members"))
+    return copies.select(F.coalesce("dup_of", "id").alias("cluster_id"), F.col("cluster_size").alias("n_members"), F.col("id").alias("member"))
 
 
 @q(
@@ -361,9 +361,15 @@ def tag_distribution(s, d):
     return _tagged(s, d).select(F.inline_outer(F.concat(one("theme", "themes"), one("role", "roles"), one("place", "places")))).filter("dim IS NOT NULL").groupBy("dim", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
-@q("narration_data")
+@q(
+    "narration_data",
+    f"WITH {QUALITY}{TAGS[len(METRICS):]}, n AS (SELECT q.doc_id, q.word_count, q.dialogue_ratio AS d, q.total, q.t, tg.roles FROM qs q JOIN tg ON q.doc_id = tg.doc_id) "
+    "SELECT doc_id, round(word_count / 150.0, 1) AS minutes, round(greatest(0.0, least(100.0, total * 0.95::DOUBLE + CASE WHEN d BETWEEN 0.15 AND 0.40 THEN 5.0 ELSE 0.0 END))::VARCHAR::DECIMAL(30, 15), 1)::DOUBLE AS suitability, round(d * 100.0, 1) AS dialogue_pct, "
+    + "CASE " + " ".join(f"WHEN list_contains(roles, '{r}') THEN '{v}'" for r, v in scoring.VOICES) + " ELSE 'neutral' END AS voice, "
+    + "CASE WHEN d > 0.35 THEN 'dynamic' WHEN d < 0.12 THEN 'narration' ELSE 'balanced' END AS pacing_tag, greatest(1, ceil(word_count / 350.0))::INT AS segments, "
+    + f"CASE WHEN length(t) > 250 THEN {strip('substr(t, 1, 250)')} || '...' ELSE t END AS excerpt FROM n",
+)
 def narration_data(s, d):
-    """Scores, tags and narration data together; its parts have SQL of their own."""
     rows = scoring.with_tags(_quality(s, d), "text")
     return rows.select("doc_id", scoring.narration(F.col("text"), F.col("metrics"), F.col("quality"), F.col("taxonomy.roles")).alias("n")).select("doc_id", "n.*")
 
@@ -432,10 +438,10 @@ def stored_signature_agreement(s, d):
     return dup.join(rows.select(F.col("id").alias("dup_of"), F.col("sig").alias("other")), "dup_of").select("id", "dup_of", dedup.agreement(F.col("sig"), F.col("other")).alias("agreement"))
 
 
-@q("resume_anti_join", "SELECT count(DISTINCT id) AS n_new FROM raw_stories WHERE try_cast(id AS BIGINT) IS NULL OR try_cast(id AS BIGINT) NOT IN (SELECT id FROM stories)")
+@q("resume_anti_join", "SELECT DISTINCT id FROM raw_stories WHERE id IS NOT NULL AND (try_cast(id AS BIGINT) IS NULL OR try_cast(id AS BIGINT) NOT IN (SELECT id FROM stories))")
 def resume_anti_join(s, d):
     known = table(s, d, "stories").select(F.col("id").cast("string").alias("id"))
-    return dedup.unseen(table(s, d, "raw_stories").select("id").filter("id IS NOT NULL").distinct(), known, "id").agg(F.count(F.lit(1)).alias("n_new"))
+    return dedup.unseen(table(s, d, "raw_stories").select("id").filter("id IS NOT NULL").distinct(), known, "id").select("id")
 
 
 # ---------------------------------------------------------------- chunks, cues, scripts
@@ -484,11 +490,17 @@ def script_adaptation(s, d):
     return captions.scripts(_docs(s, d), "doc_id", "text", "title")
 
 
-@q("batch_manifest")
+@q(
+    "batch_manifest",
+    "WITH b AS (SELECT id, title, quality_total FROM stories WHERE is_canonical = 1 AND safety_verdict = 'PASS' AND quality_tier = 'Tier 1: Master Candidate' AND quality_total >= 75 ORDER BY quality_total DESC, id LIMIT 20) SELECT 'batch_001' AS batch, count(*) AS n_items, string_agg(id || ':' || coalesce(title, '') || ':' || quality_total::DECIMAL(5, 1), '|' ORDER BY id) AS items FROM b",
+)
 def batch_manifest(s, d):
     """The best-ranked stories as one JSON document; a report of fixed length."""
     best = analytics.ranked_candidates(table(s, d, "stories"), ["Tier 1: Master Candidate"], 75.0, 20, ("quality_total",))
-    return captions.manifest(best, "batch_001", ["id", "title", "quality_total"], "id")
+    made = captions.manifest(best, "batch_001", ["id", "title", "quality_total"], "id")
+    items = F.from_json("items", "array<struct<id:bigint,title:string,quality_total:double>>")
+    line = lambda x: F.concat_ws(":", x.id.cast("string"), F.coalesce(x.title, F.lit("")), x.quality_total.cast("decimal(5,1)").cast("string"))
+    return made.select("batch", "n_items", F.array_join(F.transform(items, line), "|").alias("items"))
 
 
 @q("catalog_build")
