@@ -1,5 +1,6 @@
 import json
 import os
+import random
 import zlib
 
 import pytest
@@ -31,6 +32,28 @@ def test_csv_mapping(spark, tmp_path):
     assert got["8"].text == "" and got["8"].title == "Untitled Story" and got["8"].author == "Unknown / Anonymous"
 
 
+def test_one_csv_file_is_read_by_many_tasks(spark, tmp_path):
+    """Quoted newlines, doubled quotes, short rows and fields over several splits, against Python's own reader."""
+    import csv
+
+    rng = random.Random(3)
+    pieces = ["plain", 'said "yes"', "a, b", "line\nbreak", "\n\n", '"', "x" * 900, "", "long\n" * 700]
+    rows = [[str(i), *("".join(rng.choice(pieces) for _ in range(rng.randrange(3))) for _ in range(2))] for i in range(400)]
+    rows[7] = rows[7][:2]
+    with open(tmp_path / "one.csv", "w", newline="") as out:
+        csv.writer(out, lineterminator="\n").writerows([["id", "title", "content"], *rows])
+    with open(tmp_path / "one.csv", newline="") as back:
+        want = {r[0]: tuple((r + [None])[:3]) for r in list(csv.reader(back))[1:]}
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        assert spark.read.text(str(tmp_path / "one.csv")).rdd.getNumPartitions() > 20
+        got = {r.id: tuple(r) for r in readers.read_csv(spark, str(tmp_path / "one.csv")).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == want
+
+
 def test_chunk_lines_are_numbered(spark, tmp_path):
     (tmp_path / "c.jsonl").write_text('{"id":1,"content":"a"}\n\n{"id":2,"content":"b"}\n{"id":1,"content":"c"}\n')
     got = {(r.id, r.chunk_index): r.chunk_text for r in readers.read_chunk_lines(spark, str(tmp_path / "c.jsonl")).collect()}

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import csv
+import io
+
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -10,6 +14,7 @@ from pyspark.sql.types import StringType
 from vellumix import schemas
 from vellumix.functions.text import author_or_unknown, header_author, header_title, text_or_empty, title_or_slug
 from vellumix.operators.vectors import validated
+from vellumix.storage import written
 
 
 def _limited(df: DataFrame, limit: int | None, order: str = "id") -> DataFrame:
@@ -27,8 +32,47 @@ def read_jsonl(spark: SparkSession, path: str, limit: int | None = None, strict:
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """The corpus CSV by its header, all strings; quoted fields may hold newlines and doubled quotes; short rows are padded with null."""
-    return spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE").option("inferSchema", False).csv(path)
+    """The corpus CSV by its header, all strings; quoted fields may hold newlines and doubled quotes; short rows are padded with null, longer ones cut. Line ends inside a field come out as newlines.
+
+    Whether a newline ends a row depends on all quotes before it in the file, so Spark's own multi-line
+    reader takes a file in one task. Here a file is split at lines: the quotes of each split are counted,
+    their running sum tells whether a split begins inside a field, and the lines are then numbered by the
+    row that they belong to and put together by it. The file is read several times; nothing is brought to one task but
+    a count for each split of a file.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.spark_partition_id().alias("split"), F.monotonically_increasing_id().alias("line"))
+    odd = F.pmod(F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit(""))), F.lit(2))
+    lines = lines.withColumn("odd", odd)
+    # the quotes of a file before each of its splits, and the splits of a file in order; a row for each split
+    of_split = written(lines.groupBy("file", "split").agg(F.sum("odd").alias("quotes"), F.min("line").alias("first")), "splits")
+    earlier = Window.partitionBy("file").orderBy("first").rowsBetween(Window.unboundedPreceding, -1)
+    inside = of_split.select("file", "split", (F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2).alias("inside"))
+    # within a split: the running parity before each line, then the number of the row begun last
+    upto = Window.partitionBy("file", "split").orderBy("line")
+    stated = lines.join(inside, ["file", "split"]).withColumn("before", F.pmod(F.col("inside") + F.coalesce(F.sum("odd").over(upto.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)), F.lit(2)))
+    begun = stated.withColumn("row", F.max(F.when(F.col("before") == 0, F.col("line"))).over(upto))
+    # lines at the head of a split that continue a row of an earlier one
+    last = written(begun.groupBy("file", "split").agg(F.max("row").alias("last")), "rows")
+    carried = last.select("file", "split", F.last("last", True).over(Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)).alias("carried"))
+    whole = begun.join(carried, ["file", "split"]).withColumn("row", F.coalesce("row", "carried"))
+    parts = F.array_sort(F.collect_list(F.struct("line", "value")))
+    rows = whole.groupBy("file", "row").agg(F.array_join(F.transform(parts, lambda x: x.value), "\n").alias("text"))
+    heads = rows.join(of_split.groupBy("file").agg(F.min("first").alias("row")), ["file", "row"], "left_semi")
+    header = heads.select("text").first()
+    names = next(csv.reader(io.StringIO(header.text.removeprefix("\ufeff")))) if header else []
+    if not names:
+        return spark.createDataFrame([], "value string")
+    schema = ", ".join(f"`{n}` string" for n in names)
+    body = rows.join(heads.select("file", "row"), ["file", "row"], "left_anti").filter(F.trim("text") != "")
+
+    def parse(batches):
+        csv.field_size_limit(2**31 - 1)
+        for batch in batches:
+            cells = [next(csv.reader(io.StringIO(t, newline="")), []) for t in batch.column(0).to_pylist()]
+            columns = [pa.array([c[k] if k < len(c) else None for c in cells], pa.string()) for k in range(len(names))]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return body.select("text").mapInArrow(parse, schema)
 
 
 def documents_from_csv(rows: DataFrame, archive: str = "archive") -> DataFrame:
